@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import op8_language
 from .packing import op10_packing
 from .sharding import op5_sharding
+from .urls import op9_urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_sharding": op5_sharding,
+        "op8_language": op8_language,
+        "op9_urls": op9_urls,
         "op10_packing": op10_packing,
     }
 
