@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .language import op8_language
 from .packing import op10_packing
+from .quality import ORACLE_SQL as QUALITY_SQL
+from .quality import op1_quality
 from .sharding import op5_sharding
 from .urls import op9_urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op5_sharding": op5_sharding,
         "op8_language": op8_language,
         "op9_urls": op9_urls,
@@ -22,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality": QUALITY_SQL}
