@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .language import op8_language
+from .mixing import op6_mixing
 from .packing import op10_packing
 from .quality import ORACLE_SQL as QUALITY_SQL
 from .quality import op1_quality
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op5_sharding": op5_sharding,
+        "op6_mixing": op6_mixing,
         "op8_language": op8_language,
         "op9_urls": op9_urls,
         "op10_packing": op10_packing,
