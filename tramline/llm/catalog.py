@@ -12,12 +12,14 @@ from .packing import op10_packing
 from .quality import ORACLE_SQL as QUALITY_SQL
 from .quality import op1_quality
 from .sharding import op5_sharding
+from .suffix import op3_suffix
 from .urls import op9_urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op3_suffix": op3_suffix,
         "op5_sharding": op5_sharding,
         "op6_mixing": op6_mixing,
         "op8_language": op8_language,
