@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .language import op8_language
+from .minhash import op7_minhash
 from .mixing import op6_mixing
 from .packing import op10_packing
 from .quality import ORACLE_SQL as QUALITY_SQL
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_suffix": op3_suffix,
         "op5_sharding": op5_sharding,
         "op6_mixing": op6_mixing,
+        "op7_minhash": op7_minhash,
         "op8_language": op8_language,
         "op9_urls": op9_urls,
         "op10_packing": op10_packing,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import read, unused, written
+from .hashing import MULTIPLIER, Hasher
 
 LENGTH = 100
 K = 24
@@ -23,54 +24,6 @@ HOT = 512  # an anchor with more different contexts is split further, by whole w
 _CHUNK = 1 << 22
 _COMBINE = 1 << 20
 _KERNEL_BYTES = 1 << 20
-_MIX, _MUL = 0xFF51AFD7ED558CCD, 0x9E3779B97F4A7C15
-
-
-class Hasher:
-    """Hashes of all K-grams and of any ranges of a byte array, modulo 2 to the 64."""
-
-    def __init__(self) -> None:
-        import numpy as np
-
-        table = np.random.default_rng(20240229).integers(0, 1 << 64, (2, 256), np.uint64)
-        self.one, self.two = table
-        self.powers = np.ones(1, np.uint64)
-        self.inverse = np.ones(1, np.uint64)
-
-    def mixed(self, h):
-        import numpy as np
-
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(_MIX)
-        return h ^ (h >> np.uint64(29))
-
-    def grams(self, data):
-        import numpy as np
-
-        h, n, parts = self.one[data], 1, {}
-        while True:
-            parts[n] = h
-            if 2 * n > K:
-                break
-            h = h[: len(h) - n] * np.uint64(pow(_MUL, n, 1 << 64)) + h[n:]
-            n *= 2
-        at = n
-        for m in sorted(parts, reverse=True)[1:]:
-            if at + m <= K:
-                size = len(data) - at - m + 1
-                h = h[:size] * np.uint64(pow(_MUL, m, 1 << 64)) + parts[m][at : at + size]
-                at += m
-        return self.mixed(h)
-
-    def ranges(self, data, start, end):
-        import numpy as np
-
-        if len(self.powers) < len(data):
-            n = 1 << (len(data) - 1).bit_length()
-            back = pow(_MUL, -1, 1 << 64)
-            self.powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, _MUL, np.uint64))])
-            self.inverse = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, back, np.uint64))])
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.two[data] * self.powers[: len(data)])])
-        return self.mixed((sums[end] - sums[start]) * self.inverse[start])
 
 
 def runs(data, hasher: Hasher, length: int = LENGTH):
@@ -80,7 +33,7 @@ def runs(data, hasher: Hasher, length: int = LENGTH):
     out = []
     for base in range(0, max(len(data) - length + 1, 0), _CHUNK):
         part = data[base : base + _CHUNK + length - 1]
-        h = hasher.grams(part)
+        h = hasher.grams(part, K)
         key = (h & np.uint64(~((1 << 24) - 1) & ((1 << 64) - 1))) | np.arange(len(h), dtype=np.uint64)
         width, span = length - K + 1, 1
         while 2 * span <= width:
@@ -93,7 +46,7 @@ def runs(data, hasher: Hasher, length: int = LENGTH):
         count = np.diff(np.append(first, len(anchor)))
         context = hasher.ranges(part, first, first + count + length - 1)
         shape = ((anchor[first] - first) * 256 + count).astype(np.uint64)
-        out.append((h[anchor[first]], hasher.mixed(context + shape * np.uint64(_MUL)), first + base, count))
+        out.append((h[anchor[first]], hasher.mixed(context + shape * np.uint64(MULTIPLIER)), first + base, count))
     if not out:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
@@ -241,7 +194,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             h, c, doc, tag, at, n = (x[~twin] for x in (h, c, doc, tag, at, n))
             again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
             # What came earlier here is settled, wherever it came first: it is dealt out by its place.
-            h = np.where(again, hasher.mixed(doc.astype(np.uint64) * np.uint64(_MUL) + at.astype(np.uint64)), h)
+            h = np.where(again, hasher.mixed(doc.astype(np.uint64) * np.uint64(MULTIPLIER) + at.astype(np.uint64)), h)
             return pd.DataFrame({"h": h.view(np.int64), "c": c.view(np.int64), "doc": doc, "tag": tag, "at": at, "n": np.where(again, -n, n).astype(np.int32)})
 
         with np.errstate(over="ignore"):
