@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .embeddings import op4_embeddings
 from .language import op8_language
 from .minhash import op7_minhash
 from .mixing import op6_mixing
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op3_suffix": op3_suffix,
+        "op4_embeddings": op4_embeddings,
         "op5_sharding": op5_sharding,
         "op6_mixing": op6_mixing,
         "op7_minhash": op7_minhash,
