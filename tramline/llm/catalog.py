@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .embeddings import op4_embeddings
 from .language import op8_language
+from .language_model import op2_language_model
 from .minhash import op7_minhash
 from .mixing import op6_mixing
 from .packing import op10_packing
@@ -21,6 +22,7 @@ from .urls import op9_urls
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_language_model": op2_language_model,
         "op3_suffix": op3_suffix,
         "op4_embeddings": op4_embeddings,
         "op5_sharding": op5_sharding,

@@ -50,3 +50,16 @@ class Hasher:
             self.inverse = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, back, np.uint64))])
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.two[data] * self.powers[: len(data)])])
         return self.mixed((sums[end] - sums[start]) * self.inverse[start])
+
+
+def words(text: str, hasher: Hasher):
+    """Hashes of the text's words in order; A-Z count as a-z, words end at ASCII space."""
+    import numpy as np
+
+    data = np.frombuffer(text.encode("utf-8").lower(), np.uint8)
+    if not len(data):
+        return np.zeros(0, np.uint64)
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return hasher.mixed(hasher.ranges(data, start, end) + (end - start).astype(np.uint64))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, drop_written, read, unused, written
-from .hashing import MULTIPLIER, Hasher
+from .hashing import MULTIPLIER, Hasher, words
 
 K = 64
 THRESHOLD = (80, 100)
@@ -33,19 +33,13 @@ def shingles(text: str, size: int, hasher: Hasher):
     """Sorted distinct hashes of the text's shingles of ``size`` words; A-Z count as a-z, words end at ASCII space."""
     import numpy as np
 
-    data = np.frombuffer(text.encode("utf-8").lower(), np.uint8)
-    if not len(data):
+    hashes = words(text, hasher)
+    if not len(hashes):
         return np.zeros(0, np.int64)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(start):
-        return np.zeros(0, np.int64)
-    words = hasher.mixed(hasher.ranges(data, start, end) + (end - start).astype(np.uint64))
-    n = min(size, len(words))
-    total = np.zeros(len(words) - n + 1, np.uint64)
+    n = min(size, len(hashes))
+    total = np.zeros(len(hashes) - n + 1, np.uint64)
     for i in range(n):
-        total = total * np.uint64(MULTIPLIER) + words[i : i + len(total)]
+        total = total * np.uint64(MULTIPLIER) + hashes[i : i + len(total)]
     return np.unique(hasher.mixed(total + np.uint64(n)).view(np.int64))
 
 
