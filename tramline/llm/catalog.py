@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .embeddings import op4_embeddings
 from .language import op8_language
 from .language_model import op2_language_model
@@ -31,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_urls": op9_urls,
         "op10_packing": op10_packing,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -349,6 +349,14 @@ def cut(text, spans):
     return pd.DataFrame(out, columns=["kept", "removed", "runs"])
 
 
+@F.pandas_udf(T.StringType())
+def as_text(kept):
+    """UTF-8 bytes as text, without the rests of characters that lost a byte."""
+    import pandas as pd
+
+    return pd.Series([None if k is None else bytes(k).decode("utf-8", "ignore") for k in kept], dtype=object)
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", into: str = "cut") -> DataFrame:
     """docs with struct ``into``: kept (bytes), removed (number of bytes), runs (number of maximal removed runs).
 
