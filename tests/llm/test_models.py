@@ -90,9 +90,9 @@ def test_urls_without_rules_or_rows(spark):
 def test_scores_are_sums_of_conditionals_and_order_matters(spark):
     rng = random.Random(9)
     chain = "the cat sat on the mat and the dog lay on the rug".split()
-    rows = [(i, " ".join(chain * rng.randint(1, 12))) for i in range(150)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    net = language_model.train(docs, rounds=4, masked=2)
+    rows = [(i, " ".join(chain * rng.randint(1, 12))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    net = language_model.train(docs, rounds=6, masked=2)
     shuffled = chain * 5
     rng.shuffle(shuffled)
     probe = spark.createDataFrame([(1, " ".join(chain * 5)), (2, " ".join(shuffled)), (3, None), (4, " "), (5, "the"), (1, " ".join(chain * 5))], "doc_id long, text string")
