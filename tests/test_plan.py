@@ -157,9 +157,10 @@ def test_alert_versions_and_entities(tables):
 
 def test_alerts_are_classified_once(spark, tables):
     now = F.lit("2026-09-30 00:00:00").cast("timestamp")
+    assert set(alerts.CAUSE_WORDS) == set(alerts.CAUSES[:-1]) and set(alerts.IMPACT_WORDS) == set(alerts.IMPACTS[:-1])
     none = spark.createDataFrame([], "alert_id string, text_hash string")
     got = alerts.classify_new(tables["silver.service_alerts"], none, now)
-    assert sorted((r.cause_category, r.impact_category) for r in got.collect()) == [("roadworks", "information only"), ("weather", "information only")]
+    assert sorted((r.cause_category, r.impact_category) for r in got.collect()) == [("roadworks or construction", "information only"), ("weather", "information only")]
     assert alerts.classify_new(tables["silver.service_alerts"], got, now).count() == 0
 
 

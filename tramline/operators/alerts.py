@@ -9,9 +9,22 @@ from pyspark.sql import functions as F
 
 from .history import latest
 
-#: Label -> words that point to it, in the order in which labels are tried. Labels are fixed values; words are ours.
-CAUSES = {
-    "roadworks": "road ?works?|resurfac|construction|works",
+#: The labels of both classifications. Fixed values.
+CAUSES = (
+    "roadworks or construction",
+    "crash or incident",
+    "weather",
+    "event",
+    "staff or vehicle shortage",
+    "infrastructure or vehicle fault",
+    "planned timetable change",
+    "other",
+)
+IMPACTS = ("detour", "stop closed or moved", "delays", "cancellations", "reduced service", "information only")
+
+#: Words that point to a label, in the order in which labels are tried; the last label is for texts with none of them.
+CAUSE_WORDS = {
+    "roadworks or construction": "road ?works?|resurfac|construction|works",
     "crash or incident": "crash|accident|collision|incident|police|emergency",
     "weather": "weather|snow|wind|flood|slip|storm|rain",
     "event": "event|parade|concert|marathon|match|festival",
@@ -19,14 +32,13 @@ CAUSES = {
     "infrastructure or vehicle fault": "fault|signal|breakdown|mechanical|track|power|overhead",
     "planned timetable change": "timetable|schedule change|public holiday|new route",
 }
-IMPACTS = {
+IMPACT_WORDS = {
     "detour": "detour|divert",
     "stop closed or moved": "stop .*(closed|moved|relocat)|(closed|moved|temporary) stop",
     "cancellations": "cancel",
     "reduced service": "reduced|fewer|limited",
     "delays": "delay|late",
 }
-OTHERWISE = {"cause": "other", "impact": "information only"}
 Classifier = Callable[[Column], Column]
 
 
@@ -55,6 +67,6 @@ def classify_new(alerts: DataFrame, known: DataFrame, now: Column, cause: Classi
     text = F.concat("header_text", F.lit(". "), F.coalesce("description_text", F.lit("")))
     return rows.select(
         *keys, "header_text", F.col("cause").alias("gtfs_cause"), F.col("effect").alias("gtfs_effect"), F.col("severity_level").alias("gtfs_severity"),
-        (cause or by_keywords(CAUSES, OTHERWISE["cause"]))(text).alias("cause_category"), (impact or by_keywords(IMPACTS, OTHERWISE["impact"]))(text).alias("impact_category"),
+        (cause or by_keywords(CAUSE_WORDS, CAUSES[-1]))(text).alias("cause_category"), (impact or by_keywords(IMPACT_WORDS, IMPACTS[-1]))(text).alias("impact_category"),
         (summary or first_words())(text).alias("summary"), now.alias("classified_at"),
     )
