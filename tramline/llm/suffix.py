@@ -22,14 +22,18 @@ LENGTH = 100
 K = 24
 HOT = 512  # an anchor with more different contexts is split further, by whole windows
 _CHUNK = 1 << 22
+_TOGETHER = 1 << 17  # bytes of short documents that are hashed together
 _COMBINE = 1 << 20
 _KERNEL_BYTES = 1 << 20
 
 
-def runs(data, hasher: Hasher, length: int = LENGTH):
-    """(anchor hash, context hash, first window, number of windows) of each run of windows of a document's bytes."""
+def runs(data, hasher: Hasher, length: int = LENGTH, ends=None):
+    """(anchor hash, context hash, first window, number of windows) of each run of windows of one document's bytes, or of
+    the bytes of several that end at ``ends``: windows never cross an end. Places count from the start of data."""
     import numpy as np
 
+    ends = np.array([len(data)]) if ends is None else ends
+    starts = np.concatenate([[0], ends[:-1]])
     out = []
     for base in range(0, max(len(data) - length + 1, 0), _CHUNK):
         part = data[base : base + _CHUNK + length - 1]
@@ -42,8 +46,18 @@ def runs(data, hasher: Hasher, length: int = LENGTH):
         if width > span:
             key = np.minimum(key[: len(key) - (width - span)], key[width - span :])
         anchor = (key & np.uint64((1 << 24) - 1)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        count = np.diff(np.append(first, len(anchor)))
+        edge = np.zeros(len(anchor) + 1, np.int32)
+        lo, hi = np.clip(starts - base, 0, len(anchor)), np.clip(ends - length + 1 - base, 0, len(anchor))
+        some = hi > lo
+        edge[lo[some]] += 1
+        edge[hi[some]] -= 1
+        own = np.zeros(len(anchor), bool)
+        own[lo[some]] = True
+        new = own | np.concatenate([[True], anchor[1:] != anchor[:-1]])
+        inside = np.cumsum(edge[:-1]) > 0
+        first = np.flatnonzero(new & inside)
+        stop = np.concatenate([np.flatnonzero((new | ~inside)), [len(anchor)]])
+        count = stop[np.searchsorted(stop, first, side="right")] - first
         context = hasher.ranges(part, first, first + count + length - 1)
         shape = ((anchor[first] - first) * 256 + count).astype(np.uint64)
         out.append((h[anchor[first]], hasher.mixed(context + shape * np.uint64(MULTIPLIER)), first + base, count))
@@ -199,10 +213,16 @@ def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         with np.errstate(over="ignore"):
             for b in batches:
-                for doc, tag, text in zip(b["doc"].to_numpy(), b["tag"].to_numpy(), b["text"], strict=True):
-                    h, c, at, n = runs(np.frombuffer(text.encode("utf-8"), np.uint8), hasher, length)
+                docs, tags, texts = b["doc"].to_numpy(), b["tag"].to_numpy(), [t.encode("utf-8") for t in b["text"]]
+                lengths = np.array([len(t) for t in texts], np.int64)
+                part = np.cumsum(lengths) // _TOGETHER
+                cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1), len(texts)] if len(texts) else []
+                for i, j in zip(cuts, cuts[1:], strict=False):
+                    ends = np.cumsum(lengths[i:j])
+                    h, c, at, n = runs(np.frombuffer(b"".join(texts[i:j]), np.uint8), hasher, length, ends)
                     if len(h):
-                        held.append((h, c, np.full(len(h), doc), np.full(len(h), tag, np.int32), at, n))
+                        of = np.searchsorted(ends, at, side="right")
+                        held.append((h, c, docs[i + of], tags[i + of], at - (ends - lengths[i:j])[of], n))
                         size += len(h)
                     if size >= _COMBINE:
                         yield combined()
