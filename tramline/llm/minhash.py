@@ -23,7 +23,7 @@ K = 64
 THRESHOLD = (80, 100)
 ESTIMATE = 0.5  # six standard errors of a 64-value sketch below the threshold
 OVERLAP = 40  # of K values; five standard errors below what the threshold leaves in common
-STARS = 2
+STARS = 1
 SALT = 256  # copies that one task compares with one centre
 WIDE = 256  # values of the sketches that are compared in blocks
 BLOCK = 1024  # rows of a block
@@ -40,7 +40,8 @@ def shingles(text: str, size: int, hasher: Hasher):
     total = np.zeros(len(hashes) - n + 1, np.uint64)
     for i in range(n):
         total = total * np.uint64(MULTIPLIER) + hashes[i : i + len(total)]
-    return np.unique(hasher.mixed(total + np.uint64(n)).view(np.int64))
+    found = np.sort(hasher.mixed(total + np.uint64(n)).view(np.int64))
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
 def sketches(docs: DataFrame, size: int, k: int = K) -> DataFrame:
@@ -86,6 +87,19 @@ def apart(rows: DataFrame) -> DataFrame:
     return rows.join(lists.select("key", "size"), "key")
 
 
+def labelled(lists: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """Lists with each class's component so far."""
+    if joined is None:
+        return lists.withColumn("comp", F.col("rep"))
+    return lists.join(joined, lists["rep"] == joined["id"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+
+
+def distinct_lists(rows: DataFrame) -> DataFrame:
+    """Of lists with equal members one (the members' hashes agree in 128 bits), as the same pairs would be compared again."""
+    members = rows.groupBy("key", "size").agg(F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"))
+    return rows.join(members.groupBy("size", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def star(rows: DataFrame, step: int) -> DataFrame:
     """(a, b): each class with one centre of its lists, the one with which it shares most of them.
 
@@ -167,19 +181,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
         import numpy as np
         import pandas as pd
 
-        hasher, centre, held = Hasher(), None, None
+        hasher, centre, held = Hasher(), None, []  # rows that share the centre's id have a set each
         for b in batches:
             found = []
             with np.errstate(over="ignore"):
                 for a, salt, partner, doc, text in zip(b["a"], b["salt"], b["partner"], b["doc"], b["text"], strict=True):
                     s = shingles(text or "", size, hasher)
                     if not partner:
-                        centre, held = (a, salt), s
+                        held = [*held, s] if centre == (a, salt) else [s]
+                        centre = (a, salt)
                         continue
                     assert centre == (a, salt)
-                    common = len(np.intersect1d(held, s, assume_unique=True))
-                    if THRESHOLD[1] * common >= THRESHOLD[0] * (len(s) + len(held) - common):
-                        found.append((a, doc))
+                    for other in held:
+                        common = len(np.intersect1d(other, s, assume_unique=True))
+                        if THRESHOLD[1] * common >= THRESHOLD[0] * (len(s) + len(other) - common):
+                            found.append((a, doc))
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return rows.mapInPandas(run, "a long, b long")
@@ -193,39 +209,44 @@ def near_duplicates(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text
     share an id are one node, which has the links of all of them. A null id links with nothing, has a null component and
     is kept. Extra columns are not read; an empty table gives no rows. Shingles are compared by 64-bit hashes.
     """
+    made: list[DataFrame] = []
+
+    def held(df: DataFrame, name: str) -> DataFrame:
+        made.append(written(df, name))
+        return made[-1]
+
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    table = written(sketches(plain, size), "sketches")
+    table = held(sketches(plain, size), "sketches")
     named = table.where("n > 0 and doc is not null")
     least = named.groupBy("n", "f1", "f2").agg(F.min(F.struct("doc", "sketch")).alias("m"))
-    reps = written(least.select("n", "f1", "f2", F.col("m.doc").alias("rep"), F.col("m.sketch").alias("sketch")), "classes")
+    reps = held(least.select("n", "f1", "f2", F.col("m.doc").alias("rep"), F.col("m.sketch").alias("sketch")), "classes")
     # Rows that share an id but not their sets: their classes are one node.
     several = named.groupBy("doc").agg(F.min(F.struct("n", "f1", "f2")).alias("x"), F.max(F.struct("n", "f1", "f2")).alias("y")).where("x <> y")
     same = named.join(several, "doc", "left_semi").join(reps, ["n", "f1", "f2"]).select("doc", "rep")
     links = same.select(F.col("rep").alias("b"), F.min("rep").over(Window.partitionBy("doc")).alias("a")).where("a <> b").select("a", "b").distinct()
-    lists = written(apart(inverted_lists(reps).withColumn("comp", F.col("rep"))).drop("comp", "size"), "lists")
+    lists = held(apart(inverted_lists(reps).withColumn("comp", F.col("rep"))).drop("comp", "size"), "lists")
     listed = lists.select(F.col("rep").alias("doc")).distinct()
-    texts = written(plain.join(listed, "doc", "left_semi"), "texts")
-    links, done = written(links, "links"), None
-    joined = written(components(links), "components")
+    texts = held(plain.join(listed, "doc", "left_semi"), "texts")
+    links, done, joined = held(links, "links"), None, None
     for step in range(STARS + 1):
-        rows = lists.join(joined, lists["rep"] == joined["id"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-        rows = apart(rows)
-        pairs = star(rows, step) if step < STARS else block_pairs(written(rows, "apart"), texts, size)
+        rows = apart(labelled(lists, joined if step else None))
+        pairs = star(rows, step) if step < STARS else block_pairs(held(distinct_lists(rows), "apart"), texts, size)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
+        pairs = held(pairs, "pairs")
         done = pairs if done is None else done.unionByName(pairs)
-        found = written(confirmed(estimated(pairs, reps), texts, size), "links")
-        links = links.unionByName(found)
-        joined = written(components(links), "components")
+        links = links.unionByName(held(confirmed(estimated(pairs, reps), texts, size), "links"))
+        joined = held(components(links), "components")
     member = table.join(reps.drop("sketch"), ["n", "f1", "f2"], "left")
     member = member.join(joined, member["rep"] == joined["id"], "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep", "doc"))
-    return member.select(
+    result = member.select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept")
     )
+    result = written(result, "near")
+    for t in made:
+        drop_written(t)
+    return result
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
