@@ -61,6 +61,18 @@ def test_chains_of_short_texts_lose_no_link(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_blocks_keep_pairs_of_which_one_holds_the_other(spark):
+    rows, texts = [], []
+    for i in range(40):
+        text = [f"p{i}w{j}" for j in range(401)]
+        for doc, n in ((2 * i, 400), (2 * i + 1, 320)):
+            rows.append((7, doc, n, doc, 80))
+            texts.append((doc, " ".join(text[: n + 1])))
+    rows = spark.createDataFrame(rows, "key long, rep long, n long, comp long, size long")
+    got = minhash.block_pairs(rows, spark.createDataFrame(texts, "doc long, text string"), 2).collect()
+    assert {(r.a, r.b) for r in got} == {(2 * i, 2 * i + 1) for i in range(40)}
+
+
 def brute_removed(rows, length):
     """By (id, text) in order, as rows that share an id are ordered by a hash of their text."""
     seen, out = set(), {}

@@ -3,8 +3,8 @@
 1. Each document's shingles are hashed once; its sketch is the K least hashes. Documents with equal sets are one class.
 2. Inverted lists of the retained values. Two sketches that have OVERLAP values in common share one of the K - OVERLAP + 1
    values of each whose lists are shortest, whatever the lists, so only these are used, and passages that many documents
-   share make no candidates. A similarity of 0.8 leaves 57 of 64 values in common, give or take 3.5; sets that their
-   sketches hold whole use the bound of the similarity itself and lose nothing.
+   share make no candidates. A similarity of 0.8 leaves 57 of 64 values in common, give or take 3.5, or 51, give or take
+   3.2, if one set holds the other; sets that their sketches hold whole use the bound of the similarity itself and lose nothing.
 3. In each list the others are compared with one centre at a time; classes already joined are not compared again. After
    STARS rounds all pairs of a list that are still apart are compared by sketches, in blocks. So a group of m copies costs
    about m pairs, and no pair of a list is left out.
@@ -22,7 +22,7 @@ from .hashing import MULTIPLIER, Hasher, words
 K = 64
 THRESHOLD = (80, 100)
 ESTIMATE = 0.5  # six standard errors of a 64-value sketch below the threshold
-OVERLAP = 40  # of K values; five standard errors below what the threshold leaves in common
+OVERLAP = 40  # of K values; what the threshold leaves in common is five standard errors more, or 3.5 if one set holds the other
 STARS = 1
 SALT = 256  # copies that one task compares with one centre
 WIDE = 256  # values of the sketches that are compared in blocks
@@ -114,6 +114,17 @@ def star(rows: DataFrame, step: int) -> DataFrame:
     return pair.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
 
 
+def least_common(n, m):
+    """Values that the sketches of WIDE values of two sets with n and m shingles have in common at the least if the sets
+    reach the threshold, six standard errors below what is expected. A value of the larger set's sketch is in the other
+    set with probability intersection / size: 0.89 for sets of one size, 0.8 where one set holds the other."""
+    import numpy as np
+
+    common = np.ceil(THRESHOLD[0] * (n + m) / sum(THRESHOLD))
+    p = np.minimum(common / np.maximum(n, m), 1)
+    return WIDE * p - 6 * np.sqrt(WIDE * p * (1 - p))
+
+
 def block_pairs(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(a, b) of classes of one list and two components, whose sketches of WIDE values don't rule the threshold out.
 
@@ -143,9 +154,8 @@ def block_pairs(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
             some = slice(start, start + 256)
             both = x[some] @ x.T
             most, all_in = np.maximum(n[some, None], n[None]), (n[some, None] <= WIDE) & (n[None] <= WIDE)
-            none_in = (n[some, None] > WIDE) & (n[None] > WIDE)
             union = n[some, None] + n[None] - both
-            near = np.where(all_in, THRESHOLD[1] * both >= THRESHOLD[0] * union, both >= np.where(none_in, 0.79, 0.68) * WIDE)
+            near = np.where(all_in, THRESHOLD[1] * both >= THRESHOLD[0] * union, both >= least_common(n[some, None], n[None]))
             near &= (rep[some, None] < rep[None]) & (comp[some, None] != comp[None])
             near &= np.minimum(n[some, None], n[None]) * THRESHOLD[1] >= most * THRESHOLD[0]
             i, j = np.nonzero(near)
