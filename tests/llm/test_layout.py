@@ -55,6 +55,28 @@ def test_every_prefix_is_less_than_a_block_from_its_due():
         assert seen == shares
 
 
+@pytest.mark.parametrize("blocks, weights", [({"a": 3000, "b": 6000}, {"a": 1, "b": 2}), ({f"s{i}": 20 + 97 * i for i in range(40)}, {f"s{i}": (20 + 97 * i) ** 0.5 for i in range(40)}), ({"a": 9000, "b": 1, "c": 700}, {"a": 0.7, "b": 3, "c": 0.1})])
+def test_whole_mix_is_less_than_a_block_from_its_due(blocks, weights):
+    slots = mixing.schedule(blocks, weights)
+    assert {s: len(x) for s, x in slots.items()} == blocks and sorted(t for x in slots.values() for t in x) == list(range(sum(blocks.values())))
+    order = {t: s for s, x in slots.items() for t in x}
+    seen, fluid = dict.fromkeys(blocks, 0), dict.fromkeys(blocks, 0.0)
+    for t in range(len(order)):
+        seen[order[t]] += 1
+        left = 1.0  # one slot of the fluid mix
+        while left > 1e-9 and (on := {s for s in blocks if fluid[s] < blocks[s] - 1e-7}):
+            total = sum(weights[s] for s in on)
+            step = min(left / total, *((blocks[s] - fluid[s]) / weights[s] for s in on))
+            for s in on:
+                fluid[s] += step * weights[s]
+            left -= step * total
+        assert all(abs(seen[s] - fluid[s]) < 1 + 1e-5 for s in blocks)
+
+
+def test_sources_of_no_weight_come_last():
+    assert {s: list(x) for s, x in mixing.schedule({"a": 2, "b": 1, "c": 1}, {"a": 0, "b": 1, "c": 1}).items()} == {"b": [0], "c": [1], "a": [2, 3]}
+
+
 def test_mix_places_every_row_once_and_keeps_its_due(spark):
     rows = [(i, ["a", "b", "c", None][i % 7 % 4], None if i % 5 else "t") for i in range(3000)] + [(1, "a", "t"), (1, "a", "t")]
     docs = spark.createDataFrame(rows, "doc_id long, source string, Position string")

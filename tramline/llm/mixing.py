@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import array
+import bisect
 import heapq
-import json
+import math
 from collections.abc import Mapping
-from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,23 +15,10 @@ from pyspark.sql import functions as F
 from .common import ranked, read, unused
 
 BLOCK = 8  # documents that stay together
-UNITS = 1000  # slots in which the target weights are whole numbers
 MOST_SOURCES = 500
 TEMPERATURE = 0.5  # default weights: the sources' document counts to this power
-PLAN = "array<struct<source:string,first:bigint,last:bigint,base:bigint,period:bigint,share:bigint,slots:array<bigint>>>"
-
-
-@dataclass(frozen=True)
-class Run:
-    """Blocks first..last-1 of a source: block k has slot base + (k - first) // share * period + slots[(k - first) % share]."""
-
-    source: str | None
-    first: int
-    last: int
-    base: int
-    period: int
-    share: int
-    slots: list[int]
+PIECE = 1024  # blocks of a row of the plan
+PLAN = "source string, piece long, slots array<long>"
 
 
 def whole_shares(weights: Mapping, units: int) -> dict:
@@ -66,70 +55,85 @@ def one_period(shares: Mapping) -> list:
     return order
 
 
-def schedule(blocks: Mapping, shares: Mapping) -> list[Run]:
-    """Runs that give every block of every source a slot of its own, gapless from 0.
+def schedule(blocks: Mapping, weights: Mapping) -> dict:
+    """The slots of each source's blocks in order: every block has a slot of its own, gapless from 0.
 
-    Slots follow the shares until the next slot's source has no block left; the sources that are left go on with their
-    shares alone. The plan has at most sources x sources rows, whatever the number of documents.
+    In the fluid mix all sources run at once, each by its weight until its blocks end: at virtual time v source s has had
+    min(w_s v, n_s) and the slots passed are T(v), the sum of that. Block k has the window from floor(T(k / w_s)) to
+    ceil(T((k + 1) / w_s)); the earliest deadline goes first among the released. The fluid mix fills every slot and keeps
+    every window, so this does too: after any number of slots every source is less than one block from its due, whatever
+    ends. Weights are taken as the exact fractions they are; sources of weight 0 share alike what comes after the others.
     """
-    left, done, base, runs = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, []
-    while left:
-        active = {s: shares[s] for s in left}
-        order = one_period(active)
-        at = {s: [] for s in active}
-        for slot, s in enumerate(order):
-            at[s].append(slot)
-        periods = min(left[s] // u for s, u in active.items())
-        length, used = 0, dict.fromkeys(active, 0)
-        for s in order:
-            if used[s] >= left[s] - periods * active[s]:
-                break
-            used[s] += 1
-            length += 1
-        for s, u in active.items():
-            if n := periods * u + used[s]:
-                runs.append(Run(s, done[s], done[s] + n, base, len(order), u, at[s]))
-                done[s] += n
-                left[s] -= n
-        base += periods * len(order) + length
-        left = {s: n for s, n in left.items() if n}
-    return runs
-
-
-def mix(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK, units: int = UNITS, id_col: str = "doc_id", source_col: str = "source", spread: int = 1024, names: tuple[str, str, str] = ("block", "slot", "position")) -> DataFrame:
+    last = {s: n for s, n in blocks.items() if not weights[s]}
+    if last:
+        first = {s: n for s, n in blocks.items() if s not in last}
+        after = schedule(last, dict.fromkeys(last, 1))
+        return schedule(first, weights) | {s: array.array("q", (t + sum(first.values()) for t in x)) for s, x in after.items()}
+    names = [s for s, n in blocks.items() if n]
+    exact = [Fraction(weights[s]) for s in names]
+    unit = math.lcm(*(w.denominator for w in exact))
+    w, n = [int(x * unit) for x in exact], [blocks[s] for s in names]
+    # Between the ends of two sources T(v) is ended + running * v.
+    ends, ended, running = [], [0], [sum(w)]
+    for i in sorted(range(len(names)), key=lambda i: Fraction(n[i], w[i])):
+        ends.append(Fraction(n[i], w[i]))
+        ended.append(ended[-1] + n[i])
+        running.append(running[-1] - w[i])
+    phase = [0] * len(names)
+
+    def passed(i: int, k: int) -> tuple[int, int]:
+        """Floor and ceiling of T(k / w_i)."""
+        at = phase[i]
+        if at < len(ends) and ends[at].numerator * w[i] < k * ends[at].denominator:
+            at = phase[i] = bisect.bisect_left(ends, Fraction(k, w[i]), lo=at)
+        low, rest = divmod(ended[at] * w[i] + running[at] * k, w[i])
+        return low, low + (rest > 0)
+
+    waiting, ready, slots = [(0, i, 0) for i in range(len(names))], [], [array.array("q") for _ in names]
+    for slot in range(sum(n)):
+        while waiting and waiting[0][0] <= slot:
+            _, i, k = heapq.heappop(waiting)
+            release, deadline = passed(i, k + 1)
+            heapq.heappush(ready, (deadline, i, k, release))
+        _, i, k, release = heapq.heappop(ready)
+        slots[i].append(slot)
+        if k + 1 < n[i]:
+            heapq.heappush(waiting, (release, i, k + 1))
+    return dict(zip(names, slots, strict=True))
+
+
+def mix(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", spread: int = 1024, names: tuple[str, str, str] = ("block", "slot", "position")) -> DataFrame:
     """docs with block (number within the source), slot (the block's place in the mix) and position (order of rows).
 
     Sources are cut into blocks of ``block`` rows in the order of a hash of the id; ``weights`` maps sources to target
-    weights (default: document counts to the power TEMPERATURE). Every row is kept once. Before the first source ends,
-    and between ends, every source is less than one block from its due. Positions are unique and may skip numbers where a
-    source's last block is short. A null source is a source; ties and repeated rows are interchangeable; null texts don't
-    matter; an empty table gives no rows; existing columns named like the new ones are replaced.
+    weights (default: document counts to the power TEMPERATURE). Every row is kept once. After any number of slots every
+    source is less than one block from its due (see schedule). Positions are unique and may skip numbers where a source's
+    last block is short. A null source is a source; ties and repeated rows are interchangeable; null texts don't matter;
+    an empty table gives no rows; existing columns named like the new ones are replaced.
 
-    Only a count for each source (at most MOST_SOURCES) comes to the driver, and the plan made of them is broadcast.
+    A count for each source comes to the driver, which makes the plan: a number for each block, PIECE of them in a row.
     """
     docs = docs.drop(*names)
     source, rank = unused(docs, "_source"), unused(docs, "_rank")
     docs = docs.withColumn(source, F.col(source_col).cast("string"))
     counts = {r[0]: r[1] for r in docs.groupBy(source).agg(F.count(F.lit(1))).limit(MOST_SOURCES + 1).collect()}
-    if len(counts) > min(MOST_SOURCES, units):
-        raise ValueError(f"more than {min(MOST_SOURCES, units)} sources: group them, and mix the groups")
+    if len(counts) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: group them, and mix the groups")
     counts = dict(sorted(counts.items(), key=lambda x: (x[0] is None, x[0] or "")))
     if weights is not None and (missing := set(counts) - set(weights)):
         raise ValueError(f"no weight for {sorted(map(str, missing))}")
     due = {s: weights[s] if weights is not None else n**TEMPERATURE for s, n in counts.items()}
-    runs = schedule({s: -(-n // block) for s, n in counts.items()}, whole_shares(due, units) if due else {})
-    plan = json.dumps([vars(r) for r in runs])
+    plan = schedule({s: -(-n // block) for s, n in counts.items()}, due) if due else {}
+    pieces = [(s, i // PIECE, x[i : i + PIECE].tolist()) for s, x in plan.items() for i in range(0, len(x), PIECE)]
     p = unused(docs, "_plan")
-    table = docs.sparkSession.range(1, numPartitions=1).select(F.explode(F.from_json(F.lit(plan), PLAN)).alias(p))
+    table = docs.sparkSession.createDataFrame(pieces, PLAN).select(F.struct("*").alias(p))
     key = F.xxhash64(F.col(id_col), F.col(source_col))
     rows = ranked(docs, [source], [F.col(id_col), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))], [key, F.col(id_col)], rank, spread)
     number = F.floor(F.col(rank) / block).cast("long")
     rows = rows.withColumn(names[0], number)
-    on = F.col(source).eqNullSafe(F.col(f"{p}.source")) & (F.col(names[0]) >= F.col(f"{p}.first")) & (F.col(names[0]) < F.col(f"{p}.last"))
-    since = F.col(names[0]) - F.col(f"{p}.first")
-    turn = F.element_at(f"{p}.slots", (since % F.col(f"{p}.share") + 1).cast("int"))
-    slot = F.col(f"{p}.base") + F.expr(f"(`{names[0]}` - `{p}`.first) div `{p}`.share") * F.col(f"{p}.period") + turn
-    rows = rows.join(F.broadcast(table), on).withColumn(names[1], slot)
+    on = F.col(source).eqNullSafe(F.col(f"{p}.source")) & (F.expr(f"`{names[0]}` div {PIECE}") == F.col(f"{p}.piece"))
+    slot = F.element_at(f"{p}.slots", (F.col(names[0]) % PIECE + 1).cast("int"))
+    rows = rows.join(table, on).withColumn(names[1], slot)
     return rows.withColumn(names[2], F.col(names[1]) * block + F.col(rank) % block).drop(source, rank, p)
 
 
