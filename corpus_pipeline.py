@@ -45,7 +45,7 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, dealt and sorted by their place in the mix, so that the files hold it in order."""
     names = tuple(unused(docs, n) for n in ("_block", "_slot", "_position"))
-    return mixing.in_order(mixing.mix(docs, names=names), names[2]).select(*docs.columns)
+    return mixing.in_order(mixing.mix(docs, names=names, most=None), names[2]).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

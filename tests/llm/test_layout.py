@@ -102,6 +102,14 @@ def test_mix_of_nothing_and_of_too_many(spark):
         mixing.mix(spark.createDataFrame([(i, f"s{i}") for i in range(600)], "doc_id long, source string"))
 
 
+def test_query_mixes_any_number_of_sources(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"s{i % 700}") for i in range(2000)], "doc_id long, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.op6_mixing(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter(map(tuple, docs.collect()))
+    assert len({r.position for r in got}) == 2000 and sorted(r.slot for r in got if r.position % 8 == 0) == list(range(700))
+
+
 def test_files_hold_the_mix_in_order(spark):
     docs = spark.createDataFrame([(i, f"s{i % 3}") for i in range(500)], "doc_id long, source string")
     got = [r.position for r in mixing.in_order(mixing.mix(docs)).collect()]

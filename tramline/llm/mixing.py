@@ -102,7 +102,7 @@ def schedule(blocks: Mapping, weights: Mapping) -> dict:
     return dict(zip(names, slots, strict=True))
 
 
-def mix(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", spread: int = 1024, names: tuple[str, str, str] = ("block", "slot", "position")) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", spread: int = 1024, names: tuple[str, str, str] = ("block", "slot", "position"), most: int | None = MOST_SOURCES) -> DataFrame:
     """docs with block (number within the source), slot (the block's place in the mix) and position (order of rows).
 
     Sources are cut into blocks of ``block`` rows in the order of a hash of the id; ``weights`` maps sources to target
@@ -112,13 +112,15 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK, id_
     an empty table gives no rows; existing columns named like the new ones are replaced.
 
     A count for each source comes to the driver, which makes the plan: a number for each block, PIECE of them in a row.
+    More than ``most`` sources are refused; None takes any number, as the query and the pipeline do.
     """
     docs = docs.drop(*names)
     source, rank = unused(docs, "_source"), unused(docs, "_rank")
     docs = docs.withColumn(source, F.col(source_col).cast("string"))
-    counts = {r[0]: r[1] for r in docs.groupBy(source).agg(F.count(F.lit(1))).limit(MOST_SOURCES + 1).collect()}
-    if len(counts) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: group them, and mix the groups")
+    sizes = docs.groupBy(source).agg(F.count(F.lit(1)))
+    counts = {r[0]: r[1] for r in (sizes if most is None else sizes.limit(most + 1)).collect()}
+    if most is not None and len(counts) > most:
+        raise ValueError(f"more than {most} sources: group them, mix the groups, or set most=None")
     counts = dict(sorted(counts.items(), key=lambda x: (x[0] is None, x[0] or "")))
     if weights is not None and (missing := set(counts) - set(weights)):
         raise ValueError(f"no weight for {sorted(map(str, missing))}")
@@ -143,4 +145,4 @@ def in_order(mixed: DataFrame, position: str | Column = "position") -> DataFrame
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents").select("doc_id", "source")).select("doc_id", "source", "block", "slot", "position")
+    return mix(read(spark, sf_dir, "documents").select("doc_id", "source"), most=None).select("doc_id", "source", "block", "slot", "position")
