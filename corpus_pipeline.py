@@ -49,8 +49,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences, with a checksum of their token ids."""
-    pieces = packing.pack(docs, packing.default_vocabulary())
+    """The pieces of the packed sequences, with a checksum of their token ids. Ranges of the mix are packed in its order, so
+    sequence ids follow it from range to range."""
+    pieces = packing.pack(mixing.as_written(docs), packing.default_vocabulary())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline as pipeline
+from tramline.llm import mixing
 
 DATA = "/root/testdata/sf0.001"
 
@@ -32,5 +33,22 @@ def test_stages_keep_clean_documents_and_drop_copies(spark, tmp_path):
     assert after.select("doc_id").distinct().count() == before.count()
 
 
+def test_sequences_follow_the_mix(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i * 7 % 1000 + j}" for j in range(400 if i % 10 else 20)), "en", "hot" if i % 10 else "small", None) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pipeline.mixing_stage(spark, docs, DATA).write.parquet(str(tmp_path / "mixed"))
+        pieces = pipeline.packing_stage(spark, spark.read.parquet(str(tmp_path / "mixed")), DATA).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    position = {r.doc_id: r.position for r in mixing.mix(docs).collect()}
+    ranges = {}
+    for p in pieces:
+        ranges.setdefault(p.sequence_id >> 40, []).append(position[p.doc_id])
+    ranges = [ranges[k] for k in sorted(ranges)]
+    assert len(ranges) > 2 and all(max(a) < min(b) for a, b in zip(ranges, ranges[1:]))  # noqa: B905
+
+
 def test_run(spark):
     assert pipeline.run(spark, DATA).count() > 0

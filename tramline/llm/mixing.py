@@ -9,6 +9,7 @@ import math
 from collections.abc import Mapping
 from fractions import Fraction
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,5 +145,18 @@ def in_order(mixed: DataFrame, position: str | Column = "position") -> DataFrame
     return mixed.repartitionByRange(position).sortWithinPartitions(position)
 
 
+def as_written(table: DataFrame) -> DataFrame:
+    """The rows of a table read from files, dealt and sorted by the number of their file and their place in it. Spark deals
+    files by size, which undoes the order in which in_order() wrote them. Rows that aren't read from files stay as dealt."""
+    try:
+        names = [unused(table, n) for n in ("_part", "_file", "_row")]
+        meta = table.metadataColumn("_metadata")
+        part = F.regexp_extract(meta["file_name"], r"part-(\d+)", 1).try_cast("long")
+        placed = table.select(*(F.col(f"`{c}`") for c in table.columns), part.alias(names[0]), meta["file_name"].alias(names[1]), meta["row_index"].alias(names[2]))
+    except AnalysisException:
+        return table
+    return placed.repartitionByRange(*names).sortWithinPartitions(*names).drop(*names)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents").select("doc_id", "source"), most=None).select("doc_id", "source", "block", "slot", "position")
