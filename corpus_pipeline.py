@@ -15,11 +15,14 @@ ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents of no known language: null texts and texts without a letter."""
+    """Without the documents of no known language: null texts, texts without a letter and texts whose score is below the
+    model's floor. Where no row has a label no language is known, and all texts with a letter stay."""
     pred, score = unused(docs, "lang_pred"), unused(docs, "lang_score")
     model = language.fit(docs.withColumn(pred, language.held_out()).where(~F.col(pred)).drop(pred))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     rows = language.predict(docs, model, pred_col=pred, score_col=score)
-    return rows.where(F.col(pred) != language.UNKNOWN).drop(pred, score)
+    return rows.where((F.col(pred) != language.UNKNOWN) & (F.col(score) >= model.floor)).drop(pred, score)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,15 @@ def test_stages_keep_clean_documents_and_drop_copies(spark, tmp_path):
     assert after.select("doc_id").distinct().count() == before.count()
 
 
+def test_language_stage_judges_by_the_model(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    other = [(10_000, "北京是中国的首都,人口众多", None, "s", 13), (10_001, "москва столица россии", None, "s", 21), (10_002, "the cat", None, "s", 7)]
+    kept = {r.doc_id for r in pipeline.language_stage(spark, docs.unionByName(spark.createDataFrame(other, docs.schema)), DATA).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()} | {10_002}
+    plain = spark.createDataFrame([(1, "Zoë", None, "s", 3), (2, "12 !", None, "s", 4), (3, None, None, "s", None)], docs.schema)
+    assert [r.doc_id for r in pipeline.language_stage(spark, plain, DATA).collect()] == [1]
+
+
 def test_sequences_follow_the_mix(spark, tmp_path):
     rows = [(i, " ".join(f"w{i * 7 % 1000 + j}" for j in range(400 if i % 10 else 20)), "en", "hot" if i % 10 else "small", None) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

@@ -15,6 +15,7 @@ TRAIN_ROWS = 2000  # at most about so many labelled rows are fitted, shared even
 LANDMARKS = 200
 RIDGE = 1e-2
 UNKNOWN = "und"
+SHARPNESS = 4  # of the softmax
 _CHUNK = 1 << 20
 
 
@@ -50,6 +51,7 @@ def has_letter(text: str | None) -> bool:
 class Model:
     languages: list[str]
     weights: object  # BUCKETS x languages: the landmarks' presence rows times their dual coefficients
+    floor: float = 0.0  # a text that scores less has no sign of any of the languages
 
     def scores(self, x):
         """Ridge outputs (1 for the language, -1 for the rest) of presence rows."""
@@ -114,8 +116,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     phi = np.hstack([k_nm @ root, np.ones((len(sample), 1))])
     y = np.array([[1.0 if r["g"] == g else -1.0 for g in languages] for r in sample])
     beta = np.linalg.solve(phi.T @ phi + RIDGE * np.eye(phi.shape[1]), phi.T @ y)
+    # Half way from the score of no evidence to the least score of a fitted row whose language is found.
+    outputs = k_nm @ (root @ beta[:-1])
+    found = outputs.argmax(axis=1) == y.argmax(axis=1)
+    tops = 1 / np.exp(SHARPNESS * (outputs - outputs.max(axis=1, keepdims=True))).sum(axis=1)
+    floor = (1 / len(languages) + tops[found].min()) / 2 if found.any() else 0.0
     # A constant output moves all documents of a language alike; it is left out so that a score is a kernel sum.
-    return Model(languages, np.ascontiguousarray(chosen.T @ (root @ beta[:-1]), dtype=np.float32))
+    return Model(languages, np.ascontiguousarray(chosen.T @ (root @ beta[:-1]), dtype=np.float32), float(floor))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
@@ -140,7 +147,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
             at = good[start : start + 64]
             s = m.scores(presence([texts.iloc[i] for i in at])).astype(np.float64)
             best = s.argmax(axis=1)
-            e = np.exp(4 * (s - s.max(axis=1, keepdims=True)))
+            e = np.exp(SHARPNESS * (s - s.max(axis=1, keepdims=True)))
             out.loc[at, pred_col] = [m.languages[b] for b in best]
             out.loc[at, score_col] = 1 / e.sum(axis=1)
         return out
