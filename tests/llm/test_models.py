@@ -105,6 +105,23 @@ def test_scores_are_sums_of_conditionals_and_order_matters(spark):
     assert np.allclose(np.exp(z - np.log(np.exp(z).sum(axis=1, keepdims=True))).sum(axis=1), 1, atol=1e-4) and len(one[0]) == len(t)
 
 
+def test_every_word_is_learned_once(spark):
+    docs = spark.createDataFrame([(1, "one"), (2, "a b"), (3, "a b c d e f g h i j k"), (4, None)], "doc_id long, text string").coalesce(1)
+    weights, summed = [], language_model.summed
+
+    def seen(rows):
+        out = summed(rows)
+        weights.append(out[1])
+        return out
+
+    language_model.summed = seen
+    try:
+        language_model.train(docs)
+    finally:
+        language_model.summed = summed
+    assert sum(weights[1:]) == 14  # the first is of the counts
+
+
 def test_gradients_match_differences():
     net = language_model.Network.fresh(np.arange(language_model.BUCKETS) % language_model.TOKENS)
     t = np.arange(40) % 30

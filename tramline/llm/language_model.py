@@ -18,7 +18,7 @@ TOKENS = FREQUENT + REST
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
-MASKED = 10  # in each round one token of so many is masked and learned, in every document
+MASKED = 2  # in each round one token of so many is masked and learned, in every document; in ROUNDS rounds each once
 BATCH = 1024
 PARTS = 16  # of a task's numbers, which are summed apart
 
@@ -167,8 +167,8 @@ class Network:
 
 def train(docs: DataFrame, rounds: int = ROUNDS, masked: int = MASKED) -> Network | None:
     """docs: text. Every task learns from the masked words of all its documents; the tasks' networks are averaged by the
-    number of words they learned, and the next round starts from the mean. So each document counts, and what is gathered
-    grows with the tasks. Masked places follow from the text and the round. None if there is no word."""
+    number of words they learned, and the next round starts from the mean. With as many rounds as ``masked``, every
+    word of every document is learned once. What is gathered grows with the tasks. Masked places follow from the text and the round. None if there is no word."""
     import numpy as np
 
     token = vocabulary(docs)
@@ -187,7 +187,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, masked: int = MASKED) -> Networ
                     for text in b["text"]:
                         t = own.tokens(text, hasher)
                         first = int.from_bytes(hashlib.blake2b((text or "").encode("utf-8"), digest_size=4).digest(), "little")
-                        at = np.arange((first + turn * 7) % masked, len(t), masked)
+                        at = np.arange((first + turn) % masked, len(t), masked)
                         if len(at):
                             sides.append(Network.sides(t)[at])
                             tokens.append(t[at])
