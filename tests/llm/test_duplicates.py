@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tramline.llm import embeddings, minhash, suffix
-from tramline.llm.common import components, ranked
+from tramline.llm.common import components, joined_labels, ranked
 
 
 def grouped(nodes, links):
@@ -61,16 +61,61 @@ def test_chains_of_short_texts_lose_no_link(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
-def test_blocks_keep_pairs_of_which_one_holds_the_other(spark):
-    rows, texts = [], []
-    for i in range(40):
-        text = [f"p{i}w{j}" for j in range(401)]
-        for doc, n in ((2 * i, 400), (2 * i + 1, 320)):
-            rows.append((7, doc, n, doc, 80))
-            texts.append((doc, " ".join(text[: n + 1])))
-    rows = spark.createDataFrame(rows, "key long, rep long, n long, comp long, size long")
-    got = minhash.block_pairs(rows, spark.createDataFrame(texts, "doc long, text string"), 2).collect()
-    assert {(r.a, r.b) for r in got} == {(2 * i, 2 * i + 1) for i in range(40)}
+def test_contained_sets_at_the_threshold_lose_no_link(spark):
+    """Families of a text, its first 80.1 to 82 %, and smaller decoys with lower ids that resemble both."""
+    rng, rows, links = random.Random(8), [], 0
+    for i in range(60):
+        n = rng.choice([300, 700, 1500, 3000, 5000])
+        text = [f"f{i}w{j}" for j in range(n + 1)]
+        kept = int(n * rng.uniform(0.801, 0.82)) + 1
+        for k in range(6):
+            rows.append((100 * i + k, " ".join(text[: int(n * (0.4 + 0.05 * k))] + [f"d{i}k{k}x{j}" for j in range(n // 4)])))
+        rows += [(100 * i + 50, " ".join(text)), (100 * i + 60, " ".join(text[: kept + 1]))]
+        links += 1
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert sum(got[100 * i + 60] == got[100 * i + 50] for i in range(60)) == links
+
+
+def test_families_cut_into_many_blocks(spark, monkeypatch):
+    """Near copies around the threshold, more than a block holds, against brute force."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 8)
+    rng, rows = random.Random(21), []
+    for family in range(4):
+        base = [f"f{family}w{j}" for j in range(100)]
+        for i in range(60):
+            text = base[:]
+            for _ in range(rng.choice([3, 5, 7])):
+                text[rng.randrange(len(text))] = f"y{rng.randint(0, 30)}"
+            rows.append((1000 * family + i, " ".join(text)))
+    sets = sets_of(rows, 2)
+    links = [(a, b) for a, s in sets for b, t in sets if a < b and 100 * len(s & t) >= 80 * len(s | t)]
+    want = grouped([d for d, _ in sets], links)
+    assert 8 < len(set(want.values())) < 230
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_common_counts_and_joined_labels():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200))) for _ in range(70)]
+    both = minhash.common_counts(sets)
+    assert all(both[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(70) for j in range(i + 1, 70))
+    for _ in range(50):
+        labels, n = rng.integers(0, 20, 30), rng.integers(0, 25)
+        a, b = rng.integers(0, 30, n), rng.integers(0, 30, n)
+        want = grouped(range(30), [*zip(a, b, strict=True), *((i, j) for i in range(30) for j in range(30) if labels[i] == labels[j])])
+        low, high = joined_labels(labels, a, b)
+        got = grouped(set(labels.tolist()), list(zip(low.tolist(), high.tolist(), strict=True)))
+        same = lambda x, k: {(i, j) for i in range(30) for j in range(30) if x[k(i)] == x[k(j)]}
+        assert same(got, lambda i: labels[i]) == same(want, int) and len(low) == len(set(labels.tolist())) - len(set(got.values()))
+
+
+def test_near_duplicates_of_an_empty_table_and_with_clashing_columns(spark):
+    empty = minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), 2)
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    rows = [(1, "a b c", 5, "z", 0), (2, "a b c", 6, None, 1), (3, None, None, "z", 2)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, rep long, component_id string, n long"), 2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == [(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
 
 
 def brute_removed(rows, length):

@@ -3,12 +3,16 @@
 1. Each document's shingles are hashed once; its sketch is the K least hashes. Documents with equal sets are one class.
 2. Inverted lists of the retained values. Two sketches that have OVERLAP values in common share one of the K - OVERLAP + 1
    values of each whose lists are shortest, whatever the lists, so only these are used, and passages that many documents
-   share make no candidates. A similarity of 0.8 leaves 57 of 64 values in common, give or take 3.5, or 51, give or take
-   3.2, if one set holds the other; sets that their sketches hold whole use the bound of the similarity itself and lose nothing.
-3. In each list the others are compared with one centre at a time; classes already joined are not compared again. After
-   STARS rounds all pairs of a list that are still apart are compared by sketches, in blocks. So a group of m copies costs
-   about m pairs, and no pair of a list is left out.
-4. A pair whose union sketch estimates a similarity far below the threshold goes; the rest is decided on the full sets.
+   share make no candidates. A value of the larger set's sketch is in the other set with probability intersection / size,
+   so a similarity of 0.8 leaves 57 of 64 values in common for sets of one size, and 51, give or take 3.2, where one set
+   holds the other: OVERLAP is 4.7 standard errors below that, one lost pair in a million at the threshold itself, none
+   above 0.83. Sets that their sketches hold whole use the bound of the similarity itself and lose nothing.
+3. Each class is first compared with one centre of its lists. The union sketch's estimate rules pairs out, the full sets
+   decide. A family of copies is mostly joined by this round, at one pair a copy.
+4. Lists that still hold classes that are apart are bundled by their least class, since the lists of a family have
+   nearly equal members. A bundle is cut into blocks of a bounded size; blocks of classes that are all joined already
+   are not compared with each other. The full sets of two blocks meet in one task, which counts all their
+   intersections and returns the links that join classes, not the pairs. No pair of a list is left out.
 """
 
 from __future__ import annotations
@@ -16,17 +20,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, drop_written, read, unused, written
+from .common import components, drop_written, joined_labels, read, small_batches, unused, written
 from .hashing import MULTIPLIER, Hasher, words
 
 K = 64
 THRESHOLD = (80, 100)
 ESTIMATE = 0.5  # six standard errors of a 64-value sketch below the threshold
-OVERLAP = 40  # of K values; what the threshold leaves in common is five standard errors more, or 3.5 if one set holds the other
-STARS = 1
+OVERLAP = 36  # of K values
 SALT = 256  # copies that one task compares with one centre
-WIDE = 256  # values of the sketches that are compared in blocks
-BLOCK = 1024  # rows of a block
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19  # of a block of full sets
+FEW = 16  # sets; the pairs of values in more sets are counted by matrix products
 
 
 def shingles(text: str, size: int, hasher: Hasher):
@@ -53,25 +56,25 @@ def sketches(docs: DataFrame, size: int, k: int = K) -> DataFrame:
 
         hasher = Hasher()
         for b in batches:
-            for part in range(0, len(b), 2000):
+            for part in range(0, len(b), 500):
                 rows = []
                 with np.errstate(over="ignore"):
-                    for doc, text in zip(b["doc"].iloc[part : part + 2000], b["text"].iloc[part : part + 2000], strict=True):
+                    for doc, text in zip(b["doc"].iloc[part : part + 500], b["text"].iloc[part : part + 500], strict=True):
                         s = shingles(text or "", size, hasher)
                         u = s.view(np.uint64)
                         f1, f2 = hasher.mixed(u * np.uint64(MULTIPLIER)).sum(), hasher.mixed(u ^ np.uint64(MULTIPLIER)).sum()
-                        rows.append((doc, len(s), int(np.uint64(f1).view(np.int64)), int(np.uint64(f2).view(np.int64)), s[:k]))
+                        rows.append((doc, len(s), int(np.uint64(f1).view(np.int64)), int(np.uint64(f2).view(np.int64)), s[:k].copy()))
                 out = pd.DataFrame(rows, columns=["doc", "n", "f1", "f2", "sketch"])
                 out["doc"] = out["doc"].astype("Int64")
                 yield out
 
-    return docs.select("doc", "text").mapInPandas(run, "doc long, n long, f1 long, f2 long, sketch array<long>")
+    return small_batches(docs).select("doc", "text").mapInPandas(run, "doc long, n long, f1 long, f2 long, sketch array<long>")
 
 
-def inverted_lists(reps: DataFrame) -> DataFrame:
+def inverted_lists(reps: DataFrame, held=written) -> DataFrame:
     """reps: rep, n, sketch. (key, rep, n) of the values by which a class looks for others."""
     flat = reps.select("rep", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("key"))
-    lengths = flat.groupBy("key").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
+    lengths = held(flat.groupBy("key").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths")
     by = Window.partitionBy("rep")
     shared = flat.join(lengths, "key").withColumns({"place": F.row_number().over(by.orderBy("length", "key")), "shared": F.count(F.lit(1)).over(by)})
     whole = F.col("n") - F.expr(f"({THRESHOLD[0]} * n + {THRESHOLD[1] - 1}) div {THRESHOLD[1]}") + 1
@@ -81,88 +84,129 @@ def inverted_lists(reps: DataFrame) -> DataFrame:
     return shared.where(F.col("place") <= first - (F.col("m") - F.col("shared"))).select("key", "rep", "n")
 
 
-def apart(rows: DataFrame) -> DataFrame:
-    """Of rows (key, rep, comp, ...) those of lists that hold two components or more, with the list's size."""
-    lists = rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("size")).where("c0 <> c1")
-    return rows.join(lists.select("key", "size"), "key")
+def apart(rows: DataFrame, held=written) -> DataFrame:
+    """Of rows (key, rep, n, comp) those of lists that hold two components or more, with ``centre``, the list's least class."""
+    lists = rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("rep").alias("centre")).where("c0 <> c1")
+    return rows.join(held(lists.select("key", "centre"), "centres"), "key")
 
 
-def labelled(lists: DataFrame, joined: DataFrame | None) -> DataFrame:
-    """Lists with each class's component so far."""
-    if joined is None:
-        return lists.withColumn("comp", F.col("rep"))
-    return lists.join(joined, lists["rep"] == joined["id"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+def star(rows: DataFrame) -> DataFrame:
+    """(a, b): each class with one centre of its lists, the one with which it shares most of them."""
+    counted = rows.where("centre <> rep").groupBy("rep", "centre").agg(F.count(F.lit(1)).alias("shared"))
+    best = counted.groupBy("rep").agg(F.max(F.struct("shared", (-F.col("centre")).alias("a"))).alias("m"))
+    return best.select((-F.col("m.a")).alias("a"), F.col("rep").alias("b"))
 
 
-def distinct_lists(rows: DataFrame) -> DataFrame:
-    """Of lists with equal members one (the members' hashes agree in 128 bits), as the same pairs would be compared again."""
-    members = rows.groupBy("key", "size").agg(F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"))
-    return rows.join(members.groupBy("size", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows: key, rep, n, and comp: a class that rep is known to be connected to by the links (a, b), one for each b; the
+    centre's centre, or the centre, or rep itself."""
+    one = links.groupBy("b").agg(F.min("a").alias("a"))
+    two = one.join(one.select(F.col("b").alias("a"), F.col("a").alias("aa")), "a", "left").select(F.col("b").alias("rep"), F.coalesce("aa", "a").alias("comp"))
+    return rows.join(two, "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
 
 
-def star(rows: DataFrame, step: int) -> DataFrame:
-    """(a, b): each class with one centre of its lists, the one with which it shares most of them.
+def dealt(bundles: DataFrame, held=written) -> DataFrame:
+    """bundles: centre, rep, n, comp. A row for each pair of blocks (i, j) of its bundle in which a class is compared.
 
-    The centre of a list is its least class at first, later one that a hash of the step picks.
+    A bundle that fits one block is one. Else its largest component has blocks of its own, which are not compared with
+    each other, and the rest has others. So a family that is joined but for a few is dealt out once or twice, and the
+    copies of a row grow with the blocks that are apart from it.
     """
-    order = F.when(F.lit(step == 0), F.col("rep")).otherwise(F.xxhash64(F.lit(step), "rep"))
-    centres = rows.groupBy("key").agg(F.min(F.struct(order.alias("h"), F.col("rep").alias("a"), F.col("comp").alias("ca"))).alias("p"))
-    pairs = rows.join(centres.select("key", "p.a", "p.ca"), "key").where("ca <> comp")
-    counted = pairs.groupBy("rep", "a").agg(F.count(F.lit(1)).alias("shared"))
-    best = counted.groupBy("rep").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("m"))
-    pair = best.select("rep", (-F.col("m.a")).alias("a"))
-    return pair.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-
-
-def least_common(n, m):
-    """Values that the sketches of WIDE values of two sets with n and m shingles have in common at the least if the sets
-    reach the threshold, six standard errors below what is expected. A value of the larger set's sketch is in the other
-    set with probability intersection / size: 0.89 for sets of one size, 0.8 where one set holds the other."""
+    by_comp = bundles.groupBy("centre", "comp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    total = by_comp.groupBy("centre").agg(F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"), F.max(F.struct("rows", "shingles", "comp")).alias("main"))
+    blocks = lambda rows, n: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    total = total.withColumn("all", blocks(F.col("rows"), F.col("shingles"))).withColumns({
+        "m": F.when(F.col("all") > 1, blocks(F.col("main.rows"), F.col("main.shingles"))).otherwise(0),
+        "r": F.when(F.col("all") > 1, blocks(F.col("rows") - F.col("main.rows"), F.col("shingles") - F.col("main.shingles"))).otherwise(1),
+    })
+    plan = held(total.select("centre", F.col("main.comp").alias("main"), "m", "r"), "bundles")
+    spot = lambda n: F.pmod(F.xxhash64("rep"), F.greatest(n, F.lit(1))).cast("int")
+    in_main = (F.col("m") > 0) & (F.col("comp") == F.col("main"))
+    own = F.when(in_main, spot(F.col("m"))).otherwise(F.col("m") + spot(F.col("r")))
+    others = F.sequence(F.when(in_main, F.col("m")).otherwise(F.lit(0)), F.col("m") + F.col("r") - 1)
+    rows = bundles.join(plan, "centre").withColumn("own", own).withColumn("other", F.explode(others))
+    return rows.select("centre", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "comp")
+
+
+def common_counts(sets: list):
+    """The sizes of the intersections of sorted distinct arrays, above the diagonal of a matrix."""
     import numpy as np
 
-    common = np.ceil(THRESHOLD[0] * (n + m) / sum(THRESHOLD))
-    p = np.minimum(common / np.maximum(n, m), 1)
-    return WIDE * p - 6 * np.sqrt(WIDE * p * (1 - p))
+    m = len(sets)
+    row = np.repeat(np.arange(m), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, row = values[order], row[order]
+    start = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    times = np.diff(np.append(start, len(values)))
+    both, few = np.zeros((m, m), np.float32), min(FEW, m)
+    found, size = [], 0
+
+    def add():
+        nonlocal size
+        both.ravel()[:] += np.bincount(np.concatenate(found), minlength=m * m)
+        found.clear()
+        size = 0
+
+    for t in range(2, few + 1):
+        at = start[times == t]
+        for a in range(0, len(at), 1 << 16):
+            held = row[at[a : a + (1 << 16), None] + np.arange(t)]
+            for d in range(1, t):
+                found.append((held[:, :-d] * m + held[:, d:]).ravel())
+                size += len(found[-1])
+            if size > 1 << 21:
+                add()
+    if found:
+        add()
+    many = np.flatnonzero(times > few)
+    for a in range(0, len(many), 2048):
+        some = many[a : a + 2048]
+        n = times[some]
+        at = np.repeat(start[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        x = np.zeros((m, len(some)), np.float32)
+        x[row[at], np.repeat(np.arange(len(some)), n)] = 1
+        both += x @ x.T
+    return both
+
+
+def block_links(blocks: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(a, b) of components that the links within two blocks join; the full sets are compared."""
+    rows = blocks.join(texts, blocks["rep"] == texts["doc"]).select("centre", "i", "j", "comp", "text")
+    rows = small_batches(rows).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
 
-
-def block_pairs(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(a, b) of classes of one list and two components, whose sketches of WIDE values don't rule the threshold out.
-
-    A list is cut into blocks of about BLOCK rows; each two blocks are one group, whatever the list's length.
-    """
-    named = rows.select("rep").distinct()
-    wide = sketches(texts.join(named, texts["doc"] == named["rep"], "left_semi"), size, WIDE).select(F.col("doc").alias("rep"), "sketch")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    dealt = rows.join(wide, "rep").withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n", "comp", "sketch")
-
-    def compare(pdf):
+    def run(batches):
         import numpy as np
         import pandas as pd
 
-        rep, n, comp = pdf["rep"].to_numpy(), pdf["n"].to_numpy(), pdf["comp"].to_numpy()
-        sizes = np.array([len(s) for s in pdf["sketch"]])
-        values, at, times = np.unique(np.concatenate(list(pdf["sketch"])), return_inverse=True, return_counts=True)
-        column = np.cumsum(times > 1) - 1
-        row = np.repeat(np.arange(len(rep)), sizes)
-        held = (times > 1)[at]
-        x = np.zeros((len(rep), int((times > 1).sum())), np.float32)
-        x[row[held], column[at[held]]] = 1
-        found = []
-        for start in range(0, len(rep), 256):
-            some = slice(start, start + 256)
-            both = x[some] @ x.T
-            most, all_in = np.maximum(n[some, None], n[None]), (n[some, None] <= WIDE) & (n[None] <= WIDE)
-            union = n[some, None] + n[None] - both
-            near = np.where(all_in, THRESHOLD[1] * both >= THRESHOLD[0] * union, both >= least_common(n[some, None], n[None]))
-            near &= (rep[some, None] < rep[None]) & (comp[some, None] != comp[None])
-            near &= np.minimum(n[some, None], n[None]) * THRESHOLD[1] >= most * THRESHOLD[0]
-            i, j = np.nonzero(near)
-            found.append(np.stack([rep[start + i], rep[j]], axis=1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+        hasher, at, comps, sets, low, high = Hasher(), None, [], [], [], []
+
+        def compare():
+            if len(sets) < 2:
+                return
+            n, comp = np.array([len(s) for s in sets], np.int64), np.array(comps)
+            both = common_counts(sets)
+            union = n[:, None] + n[None] - both.astype(np.int64)
+            near = np.triu(THRESHOLD[1] * both >= THRESHOLD[0] * union, 1) & (comp[:, None] != comp[None])
+            a, b = joined_labels(comp, *np.nonzero(near))
+            low.append(a)
+            high.append(b)
+
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for centre, i, j, comp, text in zip(batch["centre"], batch["i"], batch["j"], batch["comp"], batch["text"], strict=True):
+                    if at != (centre, i, j):
+                        compare()
+                        at = (centre, i, j)
+                        comps.clear()
+                        sets.clear()
+                    comps.append(comp)
+                    sets.append(shingles(text or "", size, hasher))
+            compare()
+        none = np.zeros(0, np.int64)
+        yield pd.DataFrame({"a": np.concatenate([none, *low]), "b": np.concatenate([none, *high])})
+
+    return rows.mapInPandas(run, "a long, b long").distinct()
 
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -234,19 +278,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text
     several = named.groupBy("doc").agg(F.min(F.struct("n", "f1", "f2")).alias("x"), F.max(F.struct("n", "f1", "f2")).alias("y")).where("x <> y")
     same = named.join(several, "doc", "left_semi").join(reps, ["n", "f1", "f2"]).select("doc", "rep")
     links = same.select(F.col("rep").alias("b"), F.min("rep").over(Window.partitionBy("doc")).alias("a")).where("a <> b").select("a", "b").distinct()
-    lists = held(apart(inverted_lists(reps).withColumn("comp", F.col("rep"))).drop("comp", "size"), "lists")
+    lists = held(apart(inverted_lists(reps, held).withColumn("comp", F.col("rep")), held), "lists")
     listed = lists.select(F.col("rep").alias("doc")).distinct()
     texts = held(plain.join(listed, "doc", "left_semi"), "texts")
-    links, done, joined = held(links, "links"), None, None
-    for step in range(STARS + 1):
-        rows = apart(labelled(lists, joined if step else None))
-        pairs = star(rows, step) if step < STARS else block_pairs(held(distinct_lists(rows), "apart"), texts, size)
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = held(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        links = links.unionByName(held(confirmed(estimated(pairs, reps), texts, size), "links"))
-        joined = held(components(links), "components")
+    found = held(confirmed(estimated(held(star(lists), "pairs"), reps), texts, size), "links")
+    rows = held(apart(labelled(lists.select("key", "rep", "n"), found), held), "apart")
+    blocks = dealt(held(rows.select("centre", "rep", "n", "comp").distinct(), "members"), held)
+    links = links.unionByName(found).unionByName(held(block_links(blocks, texts, size), "links"))
+    joined = held(components(links), "components")
     member = table.join(reps.drop("sketch"), ["n", "f1", "f2"], "left")
     member = member.join(joined, member["rep"] == joined["id"], "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep", "doc"))
