@@ -26,13 +26,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id. Of rows that share an id one stays, and
-    all rows with a null id."""
-    kept = minhash.near_duplicates(docs, SHINGLE).where("kept and doc_id is not null").select("doc_id").distinct()
-    place = unused(docs, "_place")
-    rows = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    rows = rows.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where(F.col(place) == 1).drop(place)
-    return rows.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near-duplicates: the one with the least id. Rows with equal id and text are one
+    document. A null id, and one that several texts share, names no document: such rows are told apart by a hash of id
+    and text, and come after all others."""
+    mark, key, place = (unused(docs, n) for n in ("_mark", "_key", "_place"))
+    text = F.xxhash64("text")
+    shared = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("x"), F.max(text).alias("y")).where("x <> y")
+    shared = written(shared.select(F.col("doc_id").alias(mark)), "shared")
+    keyed = docs.join(shared, docs["doc_id"] == shared[mark], "left")
+    hashed = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    keyed = keyed.withColumn(key, F.when(F.col(mark).isNull() & F.col("doc_id").isNotNull(), F.col("doc_id").cast("long")).otherwise(hashed)).drop(mark)
+    kept = minhash.near_duplicates(keyed, SHINGLE, id_col=key).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    rows = keyed.join(kept, key, "left_semi")
+    first = Window.partitionBy(key).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    return rows.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
