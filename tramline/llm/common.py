@@ -46,16 +46,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tramline-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tramline_path = path
+    return out
 
 
 def drop_written(df: DataFrame) -> None:
     """Deletes the files of a table made by written() that nothing reads any more."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if path.getName().startswith("tramline-"):
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark, path = df.sparkSession, df._tramline_path
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -5,14 +5,15 @@
    values of each whose lists are shortest, whatever the lists, so only these are used, and passages that many documents
    share make no candidates. A value of the larger set's sketch is in the other set with probability intersection / size,
    so a similarity of 0.8 leaves 57 of 64 values in common for sets of one size, and 51, give or take 3.2, where one set
-   holds the other: OVERLAP is 4.7 standard errors below that, one lost pair in a million at the threshold itself, none
-   above 0.83. Sets that their sketches hold whole use the bound of the similarity itself and lose nothing.
+   holds the other: OVERLAP is 4.1 standard errors below that: two lost pairs in 100,000 at the threshold itself, and
+   fewer above it. Sets that their sketches hold whole use the bound of the similarity itself and lose nothing.
 3. Each class is first compared with one centre of its lists. The union sketch's estimate rules pairs out, the full sets
    decide. A family of copies is mostly joined by this round, at one pair a copy.
 4. Lists that still hold classes that are apart are bundled by their least class, since the lists of a family have
    nearly equal members. A bundle is cut into blocks of a bounded size; blocks of classes that are all joined already
-   are not compared with each other. The full sets of two blocks meet in one task, which counts all their
-   intersections and returns the links that join classes, not the pairs. No pair of a list is left out.
+   are not compared with each other. The sketches of two blocks meet in one task, which keeps the classes that have a
+   partner there by a bound on the values in common, six standard errors wide and derived from both sizes. The full
+   sets of these meet next, and the task returns the links that join classes, not the pairs. No pair of a list is left out.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from .hashing import MULTIPLIER, Hasher, words
 K = 64
 THRESHOLD = (80, 100)
 ESTIMATE = 0.5  # six standard errors of a 64-value sketch below the threshold
-OVERLAP = 36  # of K values
+OVERLAP = 38  # of K values
 SALT = 256  # copies that one task compares with one centre
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19  # of a block of full sets
 FEW = 16  # sets; the pairs of values in more sets are counted by matrix products
@@ -170,10 +171,61 @@ def common_counts(sets: list):
     return both
 
 
+def least_common(n, m):
+    """Values that the sketches of two sets with n and m shingles have in common at the least if the sets reach the
+    threshold, six standard errors below what is expected. A value of the larger set's sketch is in the other set with
+    probability intersection / size: 0.89 for sets of one size, 0.8 where one set holds the other. Sets that the sketches
+    hold whole have their true intersection."""
+    import numpy as np
+
+    least = np.ceil(THRESHOLD[0] * (n + m) / sum(THRESHOLD))
+    p = np.minimum(least / np.maximum(n, m), 1)
+    return np.where(np.maximum(n, m) <= K, least, K * p - 6 * np.sqrt(K * p * (1 - p)))
+
+
+def together(rows: DataFrame) -> DataFrame:
+    """Rows of two blocks one after the other, in one task."""
+    return small_batches(rows).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
+
+
+def block_candidates(blocks: DataFrame, reps: DataFrame) -> DataFrame:
+    """The rows of blocks that have a partner of another component in them by their sketches."""
+    own = reps.select(F.col("rep").alias("doc"), "n", "sketch")
+    rows = together(blocks.join(own, blocks["rep"] == own["doc"]).select(*blocks.columns, "n", "sketch"))
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        held, columns = None, ["centre", "i", "j", "rep", "comp"]
+
+        def able(part):
+            if len(part) < 2:
+                return part[:0]
+            n, comp = part["n"].to_numpy(), part["comp"].to_numpy()
+            low, high = np.minimum(n[:, None], n[None]), np.maximum(n[:, None], n[None])
+            near = np.triu(common_counts(list(part["sketch"])) >= least_common(n[:, None], n[None]), 1)
+            near &= (comp[:, None] != comp[None]) & (low * THRESHOLD[1] >= high * THRESHOLD[0])
+            return part[near.any(axis=0) | near.any(axis=1)]
+
+        def split(rows):
+            key = rows[["centre", "i", "j"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(rows)]
+            return [rows.iloc[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+        for b in batches:
+            *whole, held = split(b if held is None else pd.concat([held, b], ignore_index=True))
+            if whole:
+                yield pd.concat([able(part) for part in whole])[columns]
+        if held is not None:
+            yield able(held)[columns]
+
+    return rows.mapInPandas(run, "centre long, i int, j int, rep long, comp long").distinct()
+
+
 def block_links(blocks: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(a, b) of components that the links within two blocks join; the full sets are compared."""
-    rows = blocks.join(texts, blocks["rep"] == texts["doc"]).select("centre", "i", "j", "comp", "text")
-    rows = small_batches(rows).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
+    rows = together(blocks.join(texts, blocks["rep"] == texts["doc"]).select("centre", "i", "j", "comp", "text"))
 
     def run(batches):
         import numpy as np
@@ -278,13 +330,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text
     several = named.groupBy("doc").agg(F.min(F.struct("n", "f1", "f2")).alias("x"), F.max(F.struct("n", "f1", "f2")).alias("y")).where("x <> y")
     same = named.join(several, "doc", "left_semi").join(reps, ["n", "f1", "f2"]).select("doc", "rep")
     links = same.select(F.col("rep").alias("b"), F.min("rep").over(Window.partitionBy("doc")).alias("a")).where("a <> b").select("a", "b").distinct()
-    lists = held(apart(inverted_lists(reps, held).withColumn("comp", F.col("rep")), held), "lists")
-    listed = lists.select(F.col("rep").alias("doc")).distinct()
-    texts = held(plain.join(listed, "doc", "left_semi"), "texts")
-    found = held(confirmed(estimated(held(star(lists), "pairs"), reps), texts, size), "links")
-    rows = held(apart(labelled(lists.select("key", "rep", "n"), found), held), "apart")
-    blocks = dealt(held(rows.select("centre", "rep", "n", "comp").distinct(), "members"), held)
-    links = links.unionByName(found).unionByName(held(block_links(blocks, texts, size), "links"))
+    lists = held(inverted_lists(reps, held), "lists")
+
+    def texts_of(ids):
+        return held(plain.join(ids.select(F.col("id").alias("doc")).distinct(), "doc", "left_semi"), "texts")
+
+    pairs = held(estimated(star(apart(lists.withColumn("comp", F.col("rep")), held)), reps), "pairs")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    found = held(confirmed(pairs, texts_of(ids), size), "links")
+    rows = apart(labelled(lists, found), held)
+    members = held(rows.select("centre", "rep", "n", "comp").distinct(), "members")
+    near = held(block_candidates(dealt(members, held), reps), "candidates")
+    texts = texts_of(near.select(F.col("rep").alias("id")))
+    links = links.unionByName(found).unionByName(held(block_links(near, texts, size), "links"))
     joined = held(components(links), "components")
     member = table.join(reps.drop("sketch"), ["n", "f1", "f2"], "left")
     member = member.join(joined, member["rep"] == joined["id"], "left")
