@@ -25,8 +25,9 @@ EDGE = 2
 HIDDEN = 16
 ROUNDS = 2
 MASKED = 2  # in each round one token of so many is masked and learned, in every document; in ROUNDS rounds each once
-BATCH = 256
-RATE = 0.1
+BATCH = 1024
+RATE = 0.2
+CAUTION = 1e-6  # first value of Adagrad's sums of squares
 HELD = 1 << 15  # tokens that are learned or scored together
 PARTS = 64  # of the counts, and of a task's numbers, which are summed apart
 
@@ -190,24 +191,30 @@ class Network:
         return cls(flat)
 
     def forward(self, sides):
-        """Hidden values and log-probabilities of all classes."""
+        """Hidden values, and for each class its share of the probability before they are scaled to 1."""
         import numpy as np
 
         e, b, u, c = self.split(self.weights)
-        h = np.tanh(sum(e[j][sides[:, j]] for j in range(len(OFFSETS))) + b)
-        z = h @ u + c
-        z -= z.max(axis=1, keepdims=True)
-        return h, z
+        h = e[0][sides[:, 0]]
+        for j in range(1, len(OFFSETS)):
+            h += e[j][sides[:, j]]
+        h += b
+        np.tanh(h, out=h)
+        z = h @ u
+        z += c
+        if np.abs(u).sum(axis=0).max() + np.abs(c).max() > 80:  # else no share over- or underflows
+            z -= z.max(axis=1, keepdims=True)
+        return h, np.exp(z, out=z)
 
     def log_probabilities(self, line, at):
         """log P(class | both sides) at the places of the line."""
         import numpy as np
 
         out = np.empty(len(at))
-        for a in range(0, len(at), 4096):
-            some = at[a : a + 4096]
-            _, z = self.forward(sides_of(line, some))
-            out[a : a + 4096] = z[np.arange(len(z)), line[some]] - np.log(np.exp(z).sum(axis=1))
+        for a in range(0, len(at), 1024):
+            some = at[a : a + 1024]
+            _, p = self.forward(sides_of(line, some))
+            out[a : a + 1024] = np.log(np.maximum(p[np.arange(len(p)), line[some]] / p.sum(axis=1), 1e-30))
         return out
 
     def gradient(self, sides, tokens):
@@ -216,11 +223,10 @@ class Network:
 
         _, _, u, _ = self.split(self.weights)
         h, p = self.forward(sides)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(p)), tokens] -= 1
-        p /= len(p)
-        dh = (p @ u.T) * (1 - h * h)
+        p /= p.sum(axis=1, keepdims=True) * len(p)
+        p[np.arange(len(p)), tokens] -= 1 / len(p)
+        dh = p @ u.T
+        dh *= 1 - h * h
         g = np.zeros_like(self.weights)
         ge, gb, gu, gc = self.split(g)
         for j in range(len(OFFSETS)):
@@ -228,7 +234,8 @@ class Network:
             of = sides[order, j]
             first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
             ge[j][of[first]] = np.add.reduceat(dh[order], first, axis=0)
-        gb[:], gu[:], gc[:] = dh.sum(axis=0), h.T @ p, p.sum(axis=0)
+        gb[:], gc[:] = dh.sum(axis=0), p.sum(axis=0)
+        np.matmul(h.T, p, out=gu)
         return g
 
     def learn(self, sides, tokens, squares, rate: float = RATE) -> None:
@@ -284,13 +291,13 @@ def train(tokens: DataFrame, vocab: Vocabulary | None, rounds: int = ROUNDS, mas
             import pandas as pd
 
             own = Network(held.value.weights.copy())
-            squares, learned, rng = np.full(len(own.weights), 1e-2, np.float32), 0, np.random.default_rng(turn)
+            squares, learned, rng = np.full(len(own.weights), CAUTION, np.float32), 0, np.random.default_rng(turn)
             texts, size = [], 0
 
             def step():
                 nonlocal learned
                 line, at = in_one_line(texts)
-                place = np.concatenate([np.arange(len(t)) + zlib.crc32(t) for t in texts])
+                place = np.concatenate([np.arange(len(t)) + zlib.crc32(t) for t in texts])  # of which one in ``masked`` is learned
                 at = rng.permutation(at[(place + turn) % masked == 0])
                 for a in range(0, len(at), BATCH):
                     some = at[a : a + BATCH]
