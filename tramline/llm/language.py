@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, unused
+from .common import read, small_batches, unused
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -70,7 +70,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     import numpy as np
 
-    rows = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("g"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).where(
+    rows = small_batches(docs).select(F.col(text_col).alias("t"), F.col(lang_col).alias("g"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).where(
         "t is not null and g is not null"
     )
     counts = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -133,7 +133,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
     kept; columns named like the two new ones are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop(pred_col, score_col)
+    kept = small_batches(docs).drop(pred_col, score_col)
 
     @F.pandas_udf(f"{pred_col} string, {score_col} double")
     def judge(texts):

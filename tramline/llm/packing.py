@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read
+from .common import read, small_batches
 
 SEQUENCE = 1024
 OPEN_WINDOWS = 64
@@ -173,7 +173,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, open_windows: i
         put(packer.finish())
         yield flush()
 
-    return docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")).mapInPandas(run, PIECE)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")).mapInPandas(run, PIECE)
 
 
 def ids_of(encode: Callable[[str], list[int]], text: str | None) -> bytes:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read, unused, written
+from .common import drop_written, read, small_batches, unused, written
 from .hashing import MULTIPLIER, Hasher
 
 LENGTH = 100
@@ -183,11 +183,12 @@ def repeats(contexts: list[bytes], windows, occurrence, length: int = LENGTH, me
 
 
 def tag_of(text: Column) -> Column:
-    return F.pmod(F.xxhash64(text), F.lit(1 << 31)).cast("int")
+    """With the id it tells documents apart: rows that share an id, or have none, differ in 64 bits of a hash."""
+    return F.xxhash64(text)
 
 
-OCCURRENCE = "h long, c long, doc long, tag int, at long, n int"
-SPAN = "doc long, tag int, at long, n int"
+OCCURRENCE = "h long, c long, doc long, tag long, at long, n int"
+SPAN = "doc long, tag long, at long, n int"
 
 
 def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -230,7 +231,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             if held:
                 yield combined()
 
-    return docs.mapInPandas(run, OCCURRENCE)
+    return small_batches(docs).mapInPandas(run, OCCURRENCE)
 
 
 def contexts(needed: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -271,7 +272,7 @@ def contexts(needed: DataFrame, length: int = LENGTH) -> DataFrame:
                     yield flush()
         yield flush()
 
-    return needed.mapInPandas(run, "h long, doc long, tag int, at long, n int, bytes binary")
+    return needed.mapInPandas(run, "h long, doc long, tag long, at long, n int, bytes binary")
 
 
 def _key(window: bytes) -> int:
