@@ -107,8 +107,7 @@ def test_runs_are_reproducible_monotone_and_chained(spark, static):
 
 
 def test_quantile_sampling_stays_in_range():
-    rng = runs.seeded("q")
-    got = [runs.from_quantiles(rng.random(), [(0.0, -60), (0.5, 0), (1.0, 300)]) for _ in range(2000)]
+    got = runs.value_at([(0.0, -60), (0.5, 0), (1.0, 300)], runs.seeded("q").random(2000))
     assert -60 <= min(got) and max(got) <= 300 and abs(sum(got) / 2000 - 60) < 8
 
 
