@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
+from .embeddings import ORACLE_SQL as EMBEDDINGS_SQL
 from .embeddings import op4_embeddings
 from .language import op8_language
 from .language_model import op2_language_model
+from .minhash import ORACLE_SQL as MINHASH_SQL
 from .minhash import op7_minhash
 from .mixing import op6_mixing
 from .packing import op10_packing
 from .quality import ORACLE_SQL as QUALITY_SQL
 from .quality import op1_quality
 from .sharding import op5_sharding
+from .suffix import ORACLE_SQL as SUFFIX_SQL
 from .suffix import op3_suffix
 from .urls import op9_urls
 
@@ -38,4 +41,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": QUALITY_SQL}
+    """DuckDB has no CRC-32, which op5 and op10 return; models, schedules and packing are not expressed in SQL."""
+    return {"op1_quality": QUALITY_SQL, "op3_suffix": SUFFIX_SQL, "op4_embeddings": EMBEDDINGS_SQL, "op7_minhash": MINHASH_SQL}

@@ -148,3 +148,25 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
 
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+#: All pairs of a label by their cosine, components by following links.
+ORACLE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), usable AS (
+  SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+  WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e) AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.r AS x, a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93
+), reach AS (
+  SELECT vec_id, vec_id AS c FROM v UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.vec_id
+), least_one AS (
+  SELECT vec_id, min(c) AS component_id FROM reach GROUP BY vec_id
+), counted AS (
+  SELECT x AS r, count(*) AS n FROM links GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least_one USING (vec_id) LEFT JOIN counted USING (r)
+"""

@@ -358,3 +358,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=2)
+
+
+#: Links by counting the shingles of each two documents, components by following links.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+    ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS s
+  FROM w
+), flat AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), counted AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c
+  FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM counted WHERE 100 * c >= 80 * (n + m - c)
+), two_way AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS c FROM sets UNION SELECT two_way.b, reach.c FROM reach JOIN two_way ON two_way.a = reach.doc_id
+), least_one AS (
+  SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_one USING (doc_id)
+"""

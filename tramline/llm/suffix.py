@@ -401,3 +401,30 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = without_repeats(docs)
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     return rows.select("doc_id", size.alias("n_bytes"), F.col("cut.removed").alias("n_removed"), F.col("cut.runs").alias("n_spans"), F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
+#: Every window of 100 bytes, as hexadecimal digits, with its first place in the corpus.
+ORACLE_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, i, substr(h, 2 * i::INT + 1, 200) AS s FROM d, unnest(range(0, greatest(n - 99, 0))) AS r(i)
+), f AS (
+  SELECT s, min((doc_id, i)) AS first FROM w GROUP BY s HAVING count(*) > 1
+), gone AS (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, TRUE) AS new
+  FROM w JOIN f USING (s) WHERE (doc_id, i) <> first
+), numbered AS (
+  SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM gone
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+), cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substr(h, 2 * before::INT + 1, 2 * (a - before)::INT), '' ORDER BY a) AS kept
+  FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0)::INT + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
