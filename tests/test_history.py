@@ -33,7 +33,9 @@ def test_insert_only_and_upsert(spark):
     old = spark.createDataFrame([(1, "x")], "k int, v string")
     new = spark.createDataFrame([(1, "y"), (2, "a"), (2, "b")], "k int, v string")
     assert sorted(map(tuple, history.only_new(new, old, ["k"]).collect())) == [(2, "b")]
-    assert sorted(map(tuple, history.upserted(old, new.where("v <> 'a'"), ["k"]).collect())) == [(1, "y"), (2, "b")]
+    assert sorted(map(tuple, history.upserted(old, new, ["k"]).collect())) == [(1, "y"), (2, "b")]
+    none = spark.createDataFrame([(None, "n")], "k int, v string")
+    assert [tuple(r) for r in history.upserted(none, none, ["k"]).collect()] == [(None, "n")]
 
 
 def test_unchanged_polls_are_skipped(spark):

@@ -230,3 +230,22 @@ def test_vehicles_without_a_trip_are_not_in_service(spark, static):
 
 def test_current_filter(tables):
     assert history.current(tables["silver.service_alerts"]).count() == 1
+
+
+def test_successions_equal_a_queue():
+    """Against vehicles that wait in line, the one that has been ready longest in front."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        n = int(rng.integers(1, 40))
+        start = np.sort(rng.integers(0, 60, n))
+        ready = start + rng.integers(1, 30, n)
+        waiting, want = [], []
+        for j in range(n):
+            line = sorted((ready[i], i) for i in waiting if ready[i] <= start[j])
+            want.append(line[0][1] if line else j)
+            if line:
+                waiting.remove(line[0][1])
+            waiting.append(j)
+        assert runs.successions(start, ready).tolist() == want

@@ -125,6 +125,6 @@ def share_of(condition: Column) -> Column:
     return F.count_if(condition) / F.count(F.lit(1))
 
 
-def quantile(value: Column | str, q) -> Column:
-    """Exact up to a million distinct values: the least value with a share q at or below it."""
-    return F.percentile_approx(col(value), q, 1_000_000)
+def quantile(value: Column | str, q, accuracy: int = 1_000_000) -> Column:
+    """Exact up to ``accuracy`` distinct values: the least value with a share q at or below it; an array for a list of q."""
+    return F.percentile_approx(col(value), q, accuracy)

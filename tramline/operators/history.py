@@ -55,8 +55,12 @@ def only_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def upserted(existing: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The existing table with df's rows in place of those with equal keys (keyed merge)."""
-    return existing.join(df.select(*keys), list(keys), "left_anti").unionByName(df)
+    """The existing table with df's rows in place of those with equal keys (keyed merge). Null keys are equal to nulls; of
+    several new rows of a key the greatest counts."""
+    fresh = latest(df, keys, [c for c in df.columns if c not in keys])
+    named = fresh.select(*(F.col(k).alias(f"_new_{k}") for k in keys))
+    same = [existing[k].eqNullSafe(named[f"_new_{k}"]) for k in keys]
+    return existing.join(named, same, "left_anti").unionByName(fresh)
 
 
 def changes(before: DataFrame, after: DataFrame, keys: Sequence[str], into: str = "_change") -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import expectations, history, movement, punctuality, serving, temporal, timetable
+from ..operators import expectations, feeds, history, movement, punctuality, serving, temporal, timetable
+from ..simulator import calibration
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -421,10 +422,10 @@ def total_row(spark, sf_dir):
     return punctuality.with_total(table(spark, sf_dir, "customer"), "c_mktsegment", [F.count(F.lit(1)).alias("n"), F.max("c_custkey").alias("latest")])
 
 
-@query("""SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+@query("""SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def left_anti(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return customers.join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    return customers.join(table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
 
 
 @query("""SELECT o_orderkey, date_trunc('week', o_orderdate)::DATE AS week FROM orders
@@ -448,17 +449,13 @@ def route_dimension(spark, sf_dir):
     return timetable.route_dimension(part)
 
 
-@query("""WITH n AS (SELECT max(ts)::TIMESTAMP AS now, min(ts)::TIMESTAMP AS first FROM events)
-  SELECT 0.0::DOUBLE AS age_min, count(DISTINCT floor(epoch(ts::TIMESTAMP) / 300)) AS slots,
-    greatest(floor(date_diff('second', greatest(any_value(first), any_value(now) - INTERVAL 24 HOURS), any_value(now)) / 300), 1)::BIGINT AS expected_slots,
-    least(count(DISTINCT floor(epoch(ts::TIMESTAMP) / 300)) / greatest(floor(date_diff('second', greatest(any_value(first), any_value(now) - INTERVAL 24 HOURS), any_value(now)) / 300), 1), 1.0)::DOUBLE AS coverage
-  FROM events, n WHERE ts >= now - INTERVAL 24 HOURS""")
+@query("""WITH p AS (SELECT date_trunc('second', ts::TIMESTAMP) AS polled, TIMESTAMP '2024-01-31 00:00:00' AS checked FROM events),
+  c AS (SELECT date_diff('second', max(polled), any_value(checked)) / 60.0 AS age_min, count(DISTINCT CASE WHEN polled >= checked - INTERVAL 24 HOURS THEN floor(epoch(polled) / 300) END) AS slots,
+    greatest(date_diff('second', greatest(min(polled), any_value(checked) - INTERVAL 24 HOURS), any_value(checked)) // 300, 1)::BIGINT AS expected_slots FROM p)
+  SELECT age_min::DOUBLE AS age_min, slots, expected_slots, least(slots / expected_slots, 1.0)::DOUBLE AS coverage FROM c""")
 def dq_freshness(spark, sf_dir):
     polls = table(spark, sf_dir, "events").select(F.date_trunc("second", "ts").cast("timestamp_ntz").alias("fetched_at"))
-    polls = history.within_latest(polls, "fetched_at", "100 YEARS", "now")
-    # One value in every row: the aggregate takes it as the time of the check.
-    now = polls.agg(F.max("now").alias("now")).first()["now"]
-    return expectations.freshness(polls, F.lit(now).cast("timestamp_ntz"))
+    return expectations.freshness(polls, F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"))
 
 
 @query(f"""WITH {ARRIVALS} SELECT count(*) AS detail_rows, count(*) AS summary_rows, TRUE AS agrees FROM arrivals""")
@@ -544,16 +541,108 @@ def time_split(spark, sf_dir):
 
 @query("""SELECT event_type, [quantile_disc(value, 0.0), quantile_disc(value, 0.1), quantile_disc(value, 0.5), quantile_disc(value, 0.9), quantile_disc(value, 1.0)]::VARCHAR AS q, count(DISTINCT (user_id, event_type)) AS n FROM events GROUP BY 1""")
 def calibration_quantiles(spark, sf_dir):
-    from ..simulator.calibration import quantiles_by
-
-    rows = quantiles_by(table(spark, sf_dir, "events"), "event_type", "value", [0.0, 0.1, 0.5, 0.9, 1.0]).drop("n")
+    rows = calibration.quantiles_by(table(spark, sf_dir, "events"), "event_type", "value", [0.0, 0.1, 0.5, 0.9, 1.0]).drop("n")
     counts = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_distinct("user_id", "event_type").alias("n"))
     return rows.join(counts, "event_type").select("event_type", F.concat(F.lit("["), F.array_join(F.transform("quantiles", lambda x: x.cast("string")), ", "), F.lit("]")).alias("q"), "n")
 
 
-@query("""SELECT event_type, count(*) AS steps, round(avg(d)::DECIMAL(18, 6), 3)::DOUBLE AS mean_step, round(stddev_samp(d)::DECIMAL(18, 6), 3)::DOUBLE AS sd_step FROM (
-  SELECT event_type, value - lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS d FROM events) WHERE d IS NOT NULL GROUP BY 1""")
+@query("""WITH l AS (SELECT user_id, event_type, ts::DATE AS d, event_id % 9 AS k, arg_max(floor(value), (ts, event_id)) AS v FROM events GROUP BY ALL),
+  s AS (SELECT event_type, v - lag(v) OVER w AS change, k - lag(k) OVER w AS stops FROM l WINDOW w AS (PARTITION BY user_id, event_type, d ORDER BY k))
+  SELECT event_type AS mode, count(*) AS n, round(avg(change)::DECIMAL(18, 6), 3)::DOUBLE AS mean, round(stddev_samp(change)::DECIMAL(18, 6), 3)::DOUBLE AS sd, round(avg(stops)::DECIMAL(18, 6), 3)::DOUBLE AS stops FROM s WHERE stops > 0 GROUP BY 1""")
 def calibration_steps(spark, sf_dir):
-    order = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
-    steps = table(spark, sf_dir, "events").withColumn("d", F.col("value") - F.lag("value").over(order)).where("d IS NOT NULL")
-    return steps.groupBy("event_type").agg(F.count(F.lit(1)).alias("steps"), F.round(F.avg("d"), 3).alias("mean_step"), F.round(F.stddev_samp("d"), 3).alias("sd_step"))
+    updates = table(spark, sf_dir, "events").select(
+        F.concat("user_id", F.lit("/"), "event_type").alias("trip_id"), F.to_date("ts").alias("service_date"), F.col("event_type").alias("mode"),
+        (F.col("event_id") % 9).alias("stop_sequence"), F.floor("value").alias("arrival_delay_s"), F.struct("ts", "event_id").alias("updated_at"),
+    )
+    rows = calibration.stop_steps(updates)
+    return rows.select("mode", "n", *(F.round(c, 3).alias(c) for c in ("mean", "sd", "stops")))
+
+
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a poll whose message has one entity: a trip update with one stop and a vehicle's position."""
+    text = lambda c: F.col(c).cast("string")
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    trip = F.struct(
+        F.when(F.col("event_id") % 5 > 0, F.concat(F.lit("T"), (F.col("user_id") % 50).cast("string"))).alias("trip_id"),
+        F.concat(F.lit("R"), (F.col("user_id") % 7).cast("string")).alias("route_id"), (F.col("event_id") % 2).cast("string").alias("direction_id"),
+        F.date_format("ts", "yyyyMMdd").alias("start_date"), F.lit(None).cast("string").alias("start_time"), F.lit("SCHEDULED").alias("schedule_relationship"),
+    )
+    vehicle = F.struct(F.concat(F.lit("V"), text("user_id")).alias("id"))
+    stop = F.struct(
+        (F.col("event_id") % 9).alias("stop_sequence"), F.col("event_type").alias("stop_id"), F.when(F.col("event_id") % 11 == 0, "SKIPPED").alias("schedule_relationship"),
+        F.struct((F.floor("value") - 120).alias("delay"), (second + F.floor("value").cast("long")).cast("string").alias("time")).alias("arrival"),
+    )
+    update = F.struct(trip.alias("trip"), vehicle.alias("vehicle"), second.cast("string").alias("timestamp"), F.array(stop).alias("stop_time_update"))
+    place = F.struct((F.col("value") / 100 - 42).alias("latitude"), (F.col("user_id") / 50 + 174).alias("longitude"), F.lit(None).cast("double").alias("bearing"))
+    position = F.struct(trip.alias("trip"), place.alias("position"), F.lit(None).cast("string").alias("occupancy_status"), second.cast("string").alias("timestamp"), vehicle.alias("vehicle"))
+    entity = F.struct(text("event_id").alias("id"), update.alias("trip_update"), position.alias("vehicle"))
+    return table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("fetched_at"), F.struct(F.array(entity).alias("entity")).alias("feed_message"))
+
+
+UPDATES = """updates AS (
+  SELECT CASE WHEN event_id % 5 > 0 THEN 'T' || (user_id % 50) END AS trip_id, 'R' || (user_id % 7) AS route_id, (event_id % 2)::INTEGER AS direction_id,
+    ts::DATE AS service_date, 'V' || user_id AS vehicle_id, event_type AS stop_id, (event_id % 9)::INTEGER AS stop_sequence,
+    CASE WHEN event_id % 11 = 0 THEN 'SKIPPED' END AS skipped, (floor(value) - 120)::INTEGER AS arrival_delay_s, epoch(date_trunc('second', ts))::BIGINT AS updated_s,
+    epoch(date_trunc('second', ts))::BIGINT + floor(value)::BIGINT AS predicted_s,
+    date_trunc('second', ts)::TIMESTAMP AT TIME ZONE 'UTC' AT TIME ZONE 'Pacific/Auckland' AS updated_at_local, value, user_id
+  FROM events)"""
+
+
+@query(f"""WITH {UPDATES} SELECT trip_id, route_id, direction_id, service_date, vehicle_id, stop_id, stop_sequence, arrival_delay_s, updated_s, predicted_s, updated_at_local FROM updates""")
+def flattened_trip_updates(spark, sf_dir):
+    rows = feeds.trip_updates(polls(spark, sf_dir))
+    seconds = [F.unix_seconds(c).alias(n) for c, n in (("updated_at", "updated_s"), ("predicted_arrival_at", "predicted_s"))]
+    return rows.select("trip_id", "route_id", "direction_id", "service_date", "vehicle_id", "stop_id", "stop_sequence", "arrival_delay_s", *seconds, F.col("updated_at_local").cast("timestamp_ntz").alias("updated_at_local"))
+
+
+@query(f"""WITH {UPDATES} SELECT vehicle_id, trip_id, route_id, service_date, value / 100 - 42 AS latitude, user_id / 50 + 174 AS longitude, updated_s AS position_s
+  FROM updates WHERE value / 100 - 42 BETWEEN -42 AND -40 AND user_id / 50 + 174 BETWEEN 174 AND 177""")
+def flattened_vehicle_positions(spark, sf_dir):
+    rows = expectations.expected(feeds.vehicle_positions(polls(spark, sf_dir)), feeds.VEHICLE_RULES)[0]
+    return rows.select("vehicle_id", "trip_id", "route_id", "service_date", "latitude", "longitude", F.unix_seconds("position_at").alias("position_s"))
+
+
+@query(f"""WITH {UPDATES}, l AS (
+    SELECT *, row_number() OVER (PARTITION BY trip_id, service_date, stop_sequence ORDER BY updated_s DESC, stop_id DESC, route_id DESC, direction_id DESC, vehicle_id DESC, arrival_delay_s DESC, predicted_s DESC) AS place,
+      count(*) OVER (PARTITION BY trip_id, service_date, stop_sequence) AS prediction_count, max(stop_sequence) OVER (PARTITION BY trip_id, service_date) AS last_sequence
+    FROM updates WHERE skipped IS NULL)
+  SELECT trip_id, service_date, stop_sequence, stop_id, vehicle_id, arrival_delay_s, predicted_s AS arrival_s, predicted_s - arrival_delay_s AS scheduled_s, prediction_count,
+    stop_sequence < last_sequence OR predicted_s < epoch(TIMESTAMP '2024-01-30 12:00:00') - 600 AS is_final FROM l WHERE place = 1""")
+def stop_arrivals(spark, sf_dir):
+    rows = feeds.last_predictions(feeds.trip_updates(polls(spark, sf_dir)), F.lit("2024-01-30 12:00:00").cast("timestamp"))
+    seconds = [F.unix_seconds(c).alias(n) for c, n in (("arrival_at", "arrival_s"), ("scheduled_arrival_at", "scheduled_s"))]
+    return rows.select("trip_id", "service_date", "stop_sequence", "stop_id", "vehicle_id", "arrival_delay_s", *seconds, "prediction_count", "is_final")
+
+
+def alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier as an alert in a poll of its own, with texts in two languages and two informed entities."""
+    key = F.col("s_suppkey")
+    text = lambda c: F.struct(F.array(F.struct(F.lit("mi").alias("language"), F.lit("he").alias("text")), F.struct(F.lit("en").alias("language"), c.alias("text"))).alias("translation"))
+    none = F.lit(None).cast("string")
+    trip = F.struct(none.alias("trip_id"), none.alias("route_id"), none.alias("direction_id"), none.alias("start_date"), none.alias("start_time"), none.alias("schedule_relationship"))
+    entity = lambda route, stop: F.struct(route.alias("route_id"), (key % 4).cast("string").alias("route_type"), stop.alias("stop_id"), trip.alias("trip"))
+    alert = F.struct(
+        F.lit("OTHER_CAUSE").alias("cause"), F.when(key % 2 == 0, "DETOUR").alias("effect"), F.lit("INFO").alias("severity_level"), text(F.col("s_name")).alias("header_text"),
+        text(none).alias("description_text"), text(none).alias("url"), F.array(F.struct((key * 10).cast("string").alias("start"), none.alias("end"))).alias("active_period"),
+        F.array(entity(F.concat(F.lit("R"), (key % 7).cast("string")), none), entity(none, F.concat(F.lit("S"), (key % 11).cast("string")))).alias("informed_entity"),
+    )
+    message = F.struct(F.array(F.struct(key.cast("string").alias("id"), alert.alias("alert"))).alias("entity"))
+    return table(spark, sf_dir, "supplier").select(F.lit("2024-01-01 00:00:00").cast("timestamp").alias("fetched_at"), (key * 100).alias("header_timestamp"), message.alias("feed_message"))
+
+
+@query("""SELECT s_suppkey::VARCHAR AS alert_id, CASE WHEN s_suppkey % 2 = 0 THEN 'DETOUR' END AS effect, s_name AS header_text, s_suppkey * 10 AS start_s, s_suppkey * 100 AS feed_s FROM supplier""")
+def flattened_alerts(spark, sf_dir):
+    rows = feeds.alert_polls(alert_feed(spark, sf_dir))
+    return rows.select("alert_id", "effect", "header_text", F.unix_seconds("active_start_at").alias("start_s"), F.unix_seconds("feed_at").alias("feed_s"))
+
+
+@query("""SELECT s_suppkey::VARCHAR AS alert_id, 'R' || (s_suppkey % 7) AS route_id, (s_suppkey % 4)::INTEGER AS route_type, NULL::VARCHAR AS stop_id FROM supplier
+  UNION ALL SELECT s_suppkey::VARCHAR, NULL, (s_suppkey % 4)::INTEGER, 'S' || (s_suppkey % 11) FROM supplier""")
+def alert_entities(spark, sf_dir):
+    return feeds.alert_entities(feeds.alert_polls(alert_feed(spark, sf_dir))).select("alert_id", "route_id", "route_type", "stop_id")
+
+
+@query("""SELECT date_diff('day', DATE '1998-01-01', max(o_orderdate)::DATE)::INTEGER AS days_ahead, date_diff('day', DATE '1998-01-01', max(o_orderdate)::DATE) >= 3 AS passes FROM orders""")
+def days_of_timetable(spark, sf_dir):
+    calendar = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyyMMdd").alias("end_date"))
+    return expectations.days_of_timetable(calendar, F.lit("1998-01-01").cast("date"))

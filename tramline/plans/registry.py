@@ -25,6 +25,8 @@ class Plan:
     """Datasets are functions of the DataFrames that they need. Tables are Parquet folders under root."""
 
     datasets: dict[str, Dataset] = field(default_factory=dict)
+    #: Of each dataset with rules that was run: its rows and the failures of each rule.
+    failures: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def add(self, name: str, *needs: str, rules: Iterable[Expectation] = (), partition_by: Iterable[str] = ()):
         def register(make):
@@ -48,11 +50,15 @@ class Plan:
         tables = dict(inputs)
         for name in self.order(wanted):
             d = self.datasets[name]
-            df = expected(d.make(*(tables[n] for n in d.needs)), d.rules)[0] if d.rules else d.make(*(tables[n] for n in d.needs))
+            df, seen = d.make(*(tables[n] for n in d.needs)), None
+            if d.rules:
+                df, seen = expected(df, d.rules)
             path = f"{root}/{name.replace('.', '/')}"
             writer = df.write.mode("overwrite")
             if d.partition_by:
                 writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*d.partition_by)
             writer.parquet(path)
+            if seen is not None:
+                self.failures[name] = dict(seen.get)
             tables[name] = spark.read.parquet(path)
         return tables
