@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+import math
 import random
 import zlib
 from collections import Counter
@@ -172,3 +174,43 @@ def split(pieces, total):
 
 def test_packing_nothing(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), packing.default_vocabulary()).count() == 0
+
+
+def test_schedule_equals_brute_force():
+    """Earliest deadline first slot by slot, with windows from the fluid mix computed anew for each block."""
+    rng = random.Random(12)
+    for _ in range(12):
+        n = {f"s{i}": rng.randint(1, 25) for i in range(rng.randint(1, 5))}
+        w = {s: Fraction(rng.uniform(0.01, 1)) for s in n}
+
+        def passed(v, n=n, w=w):
+            return sum((min(w[s] * v, Fraction(n[s])) for s in n), Fraction(0))
+
+        windows = {(s, k): (math.floor(passed(k / w[s])), math.ceil(passed((k + 1) / w[s]))) for s in n for k in range(n[s])}
+        names, done, order = list(n), dict.fromkeys(n, 0), []
+        for slot in range(sum(n.values())):
+            able = [(windows[s, done[s]][1], i) for i, s in enumerate(names) if done[s] < n[s] and windows[s, done[s]][0] <= slot]
+            deadline, i = min(able)
+            assert deadline > slot
+            order.append(names[i])
+            done[names[i]] += 1
+        got = mixing.schedule(n, {s: float(x) for s, x in w.items()})
+        assert [s for _, s in sorted((t, s) for s in got for t in got[s])] == order
+
+
+def test_real_weights_stay_within_a_block_over_many_slots():
+    rng = random.Random(13)
+    w = {f"s{i}": rng.uniform(0.0001, 1) for i in range(6)}
+    total = sum(w.values())
+    n = {s: int(200_000 * x / total) + 10 for s, x in w.items()}
+    slots = mixing.schedule(n, w)
+    for s, x in w.items():
+        own = list(slots[s])[: n[s] - 15]
+        assert all(abs(k + 1 - (t + 1) * x / total) < 1.001 and abs(k - t * x / total) < 1.001 for k, t in enumerate(own))
+
+
+def test_blocks_grow_where_the_plan_would(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 40)
+    docs = spark.range(1000).selectExpr("id AS doc_id", "CAST(id % 3 AS STRING) AS source")
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 1000 and len({r.position for r in rows}) == 1000 and max(r.slot for r in rows) < 43

@@ -61,3 +61,12 @@ def test_sequences_follow_the_mix(spark, tmp_path):
 
 def test_run(spark):
     assert pipeline.run(spark, DATA).count() > 0
+
+
+def test_near_stage_tells_documents_of_one_id_apart(spark):
+    text = lambda k, n=40: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(5, text("a")), (5, text("b")), (5, text("b")), (3, text("b") + " x"), (None, text("c")), (None, text("c")), (None, text("d")), (7, None), (7, None), (8, ""), (9, text("a"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 2) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, _key string, component_id int")
+    got = sorted((str(r.doc_id), (r.text or "")[:2]) for r in pipeline.near_stage(spark, docs, DATA).collect())
+    assert got == [("3", "b0"), ("7", ""), ("8", ""), ("9", "a0"), ("None", "c0"), ("None", "d0")]
+    assert pipeline.near_stage(spark, docs.limit(0), DATA).count() == 0

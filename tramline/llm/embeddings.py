@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, ranked, read, written
+from .common import components, joined_labels, ranked, read, written
 
 THRESHOLD = 0.93
 TILE = 2048
@@ -48,24 +48,6 @@ def tile_links(x, y, threshold: float, rows: int = 512):
         yield start, i[good], j[good]
 
 
-def forest(a, b):
-    """A spanning forest of the links (a, b): as many as there are merges."""
-    parent: dict[int, int] = {}
-
-    def root(v):
-        while (p := parent.setdefault(v, v)) != v:
-            parent[v] = v = parent.setdefault(p, p)
-        return v
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        p, q = root(x), root(y)
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
-
-
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """A row per vector: vec_id, n_links, component_id, kept.
 
@@ -105,7 +87,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
         place, copies = pdf["place"].to_numpy(), pdf["copies"].to_numpy()
         left, right = np.flatnonzero(t == i), np.flatnonzero(t == j)
         counts = np.zeros(len(x), np.int64)
-        edges = []
+        own, low, high = np.arange(len(x)), [], []
         if not len(left) or not len(right):
             return pd.DataFrame({"place": [], "links": [], "a": [], "b": []})
         for start, a, b in tile_links(x[left], x[right], threshold):
@@ -115,12 +97,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
             np.add.at(counts, a, copies[b])
             np.add.at(counts, b, copies[a])
             if len(a):
-                edges += forest(place[a], place[b])
-        edges = forest(*np.array(edges).T) if edges else []
+                found = joined_labels(own, a, b)
+                low.append(found[0])
+                high.append(found[1])
+        if low:
+            low, high = joined_labels(own, np.concatenate(low), np.concatenate(high))
         at = np.flatnonzero(counts)
         none = [None] * len(at)
         found = pd.DataFrame({"place": place[at], "links": counts[at], "a": none, "b": none})
-        joined = pd.DataFrame({"place": None, "links": None, "a": [e[0] for e in edges], "b": [e[1] for e in edges]})
+        joined = pd.DataFrame({"place": None, "links": None, "a": place[np.asarray(low, np.int64)], "b": place[np.asarray(high, np.int64)]})
         out = pd.concat([found, joined], ignore_index=True) if len(joined) else found
         return out.astype("Int64")
 

@@ -90,7 +90,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 packed = np.packbits(presence(list(part["t"])).astype(np.uint8), axis=1)
                 yield pd.DataFrame({"g": part["g"].to_numpy(), "h": part["h"].to_numpy(), "x": [r.tobytes() for r in packed]})
 
-    sample = rows.where(F.pmod("h", F.lit(parts)) < limit).mapInPandas(bits, "g string, h long, x binary").collect()
+    # Rows equal in id, text and language are one, so a row that is repeated without end doesn't fill the sample.
+    sample = rows.where(F.pmod("h", F.lit(parts)) < limit).dropDuplicates(["g", "h"]).mapInPandas(bits, "g string, h long, x binary").collect()
     sample = sorted(sample, key=lambda r: (r["g"], r["h"], r["x"]))
     languages = sorted({r["g"] for r in sample})
     if not sample:

@@ -326,7 +326,8 @@ def train(tokens: DataFrame, vocab: Vocabulary | None, rounds: int = ROUNDS, mas
 def score(tokens: DataFrame, network: Network | None) -> DataFrame:
     """A row per document: doc_id, n_tokens, log_likelihood (sum over all its words of log P(word | both sides)) and
     mean_log_likelihood. Null texts and texts without a word have 0 words, sum 0 and a null mean. Equal texts get equal
-    scores; repeated rows and null ids have rows of their own."""
+    scores but for rounding in single precision, since texts are scored many at a time; repeated rows and null ids have
+    rows of their own."""
     held = tokens.sparkSession.sparkContext.broadcast(network)
 
     def run(batches):

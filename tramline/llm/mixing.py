@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .common import ranked, read, unused
 
 BLOCK = 8  # documents that stay together
+MOST_BLOCKS = 1 << 20  # of the plan that the driver makes; blocks are longer where there would be more
 MOST_SOURCES = 500
 TEMPERATURE = 0.5  # default weights: the sources' document counts to this power
 PIECE = 1024  # blocks of a row of the plan
@@ -113,6 +114,8 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK, id_
     an empty table gives no rows; existing columns named like the new ones are replaced.
 
     A count for each source comes to the driver, which makes the plan: a number for each block, PIECE of them in a row.
+    Blocks hold ``block`` rows, or as many as leave MOST_BLOCKS blocks besides one for each source, so the plan has a
+    bounded size whatever the corpus.
     More than ``most`` sources are refused; None takes any number, as the query and the pipeline do.
     """
     docs = docs.drop(*names)
@@ -126,6 +129,7 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK, id_
     if weights is not None and (missing := set(counts) - set(weights)):
         raise ValueError(f"no weight for {sorted(map(str, missing))}")
     due = {s: weights[s] if weights is not None else n**TEMPERATURE for s, n in counts.items()}
+    block = max(block, -(-sum(counts.values()) // MOST_BLOCKS))
     plan = schedule({s: -(-n // block) for s, n in counts.items()}, due) if due else {}
     pieces = [(s, i // PIECE, x[i : i + PIECE].tolist()) for s, x in plan.items() for i in range(0, len(x), PIECE)]
     p = unused(docs, "_plan")

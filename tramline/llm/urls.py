@@ -149,10 +149,10 @@ def boost(x, y, trees: int = 40, depth: int = 3, rate: float = 0.2, bins: int =
 
 def fit(labelled: DataFrame, train_urls: int = TRAIN_URLS) -> Model | None:
     """labelled: url, host, path, s0..s2, blocked (0/1). Suffix statistics count all rows; trees are fitted on a sample
-    drawn by a hash of the url, of about train_urls rows at most. None without rows."""
+    drawn by a hash of the url, of about train_urls distinct urls at most. None without rows."""
     import numpy as np
 
-    total = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b")).first()
+    total = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b"), F.approx_count_distinct("url").alias("d")).first()
     if not total["n"]:
         return None
     share = total["b"] / total["n"]
@@ -161,7 +161,7 @@ def fit(labelled: DataFrame, train_urls: int = TRAIN_URLS) -> Model | None:
         got = labelled.groupBy(f"s{i}").agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b")).collect()  # SUFFIX_BUCKETS rows at most
         rates.append({r[0]: (r["b"] + 5 * share) / (r["n"] + 5) for r in got})
     parts = 1 << 20
-    sample = labelled.where(F.pmod(F.xxhash64("url"), F.lit(parts)) < min(parts, parts * train_urls // total["n"] + 1)).toPandas()
+    sample = labelled.where(F.pmod(F.xxhash64("url"), F.lit(parts)) < min(parts, parts * train_urls // max(total["d"], 1) + 1)).distinct().toPandas()
     model = Model(0.0, rates, share, [])
     if share in (0, 1) or not len(sample):
         model.prior = -10.0 if share < 0.5 else 10.0
