@@ -56,7 +56,8 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_sql(spark, name):
     sf = "/root/testdata/sf0.001"
-    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        duckdb.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     df = catalog.queries()[name](spark, sf)
     want = duckdb.sql(catalog.oracle_sql()[name])
     at = [want.columns.index(c) for c in sorted(df.columns)]
