@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, joined_labels, ranked, read, written
+from .common import components, joined_labels, ranked, read, small_batches, written
 
 THRESHOLD = 0.93
 TILE = 2048
@@ -22,30 +22,89 @@ def quantised(x):
     return q, scale, error
 
 
-def tile_links(x, y, threshold: float, rows: int = 512):
-    """Yields (first row, i, j) of the pairs of unit rows x[first row + i], y[j] with a product >= threshold.
+def tile_pairs(x, y, threshold: float, rows: int = 512):
+    """x, y: (codes, scales, errors) of two tiles. Yields (first row, (i, j), (i, j)): the pairs x[first row + i], y[j] that
+    reach the threshold for certain, and those that may.
 
     Products of codes are whole numbers below 2 to the 24 for up to 1040 dimensions, so a float32 product of them is
     exact; wider vectors are multiplied in parts. With x = x' + r and y = y' + t, x y = x' y' + x' t + r y' + r t, so the
-    error of the codes' product is at most |x'| |t| + |r| |y'| + |r| |t|. Pairs that it may lift to the threshold are
-    computed in double precision.
+    error of the codes' product is at most |x'| |t| + |r| |y'| + |r| |t|.
     """
     import numpy as np
 
-    qx, sx, ex = quantised(x)
-    qy, sy, ey = quantised(y)
+    (qx, sx, ex), (qy, sy, ey) = x, y
     nx, ny = 1 + ex, 1 + ey  # lengths of the coded rows are no more than these
-    for start in range(0, len(x), rows):
+    for start in range(0, len(qx), rows):
         part = slice(start, start + rows)
         product = np.zeros((len(qx[part]), len(qy)))
-        for d in range(0, x.shape[1], 1024):
+        for d in range(0, qx.shape[1], 1024):
             product += qx[part, d : d + 1024].astype(np.float32) @ qy[:, d : d + 1024].astype(np.float32).T
         product *= sx[part, None] * sy[None]
-        bound = nx[part, None] * ey[None] + ex[part, None] * ny[None] + ex[part, None] * ey[None]
-        i, j = np.nonzero(product + bound >= threshold - 1e-9)
-        exact = np.concatenate([np.einsum("ij,ij->i", x[start + i[a : a + 100_000]], y[j[a : a + 100_000]]) for a in range(0, len(i), 100_000)] or [np.zeros(0)])
-        good = exact >= threshold
-        yield start, i[good], j[good]
+        bound = nx[part, None] * ey[None] + ex[part, None] * ny[None] + ex[part, None] * ey[None] + 1e-9
+        certain = product - bound >= threshold
+        yield start, np.nonzero(certain), np.nonzero((product + bound >= threshold) & ~certain)
+
+
+def unit(v):
+    """The vectors as rows of length 1, in double precision."""
+    import numpy as np
+
+    x = np.stack(v.to_numpy()).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the lengths
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def coded(batches):
+    """Adds q, scale and error, the int8 code of each vector, to rows with columns width and v."""
+    import pandas as pd
+
+    for batch in batches:
+        parts = [batch.iloc[:0].assign(q=None, scale=0.0, error=0.0)]
+        for _, part in batch.groupby("width"):
+            q, scale, error = quantised(unit(part["v"]))
+            parts.append(part.assign(q=[row.tobytes() for row in q], scale=scale, error=error))
+        yield pd.concat(parts[1:] or parts, ignore_index=True)
+
+
+def compared(pdf, i: int, j: int, threshold: float, exact: bool):
+    """The rows of tiles i and j: links and a spanning forest of the pairs that are certain by their codes, and the places
+    of those that are not (open); or, if exact, of the uncertain ones that reach the threshold in double precision."""
+    import numpy as np
+    import pandas as pd
+
+    pdf = pdf.sort_values("place", kind="stable")
+    place, copies, tile = pdf["place"].to_numpy(), pdf["copies"].to_numpy(), pdf["tile"].to_numpy()
+    codes = np.stack([np.frombuffer(q, np.int8) for q in pdf["q"]]), pdf["scale"].to_numpy(), pdf["error"].to_numpy()
+    x = unit(pdf["v"]) if exact else None
+    left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+    counts, unsure = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), bool)
+    own, low, high = np.arange(len(pdf)), [], []
+    for start, certain, maybe in tile_pairs(*([c[side] for c in codes] for side in (left, right)), threshold):
+        for (a, b), settled in ((certain, True), (maybe, False)):
+            if exact and settled:
+                continue
+            a, b = left[start + a], right[b]
+            if i == j:
+                a, b = a[a < b], b[a < b]
+            if exact:
+                good = [np.einsum("ij,ij->i", x[a[k : k + 100_000]], x[b[k : k + 100_000]]) >= threshold for k in range(0, len(a), 100_000)]
+                good = np.concatenate(good or [np.zeros(0, bool)])
+                a, b = a[good], b[good]
+            elif not settled:
+                unsure[a] = unsure[b] = True
+                continue
+            np.add.at(counts, a, copies[b])
+            np.add.at(counts, b, copies[a])
+            if len(a):
+                joined = joined_labels(own, a, b)
+                low.append(joined[0])
+                high.append(joined[1])
+    if low:
+        low, high = joined_labels(own, np.concatenate(low), np.concatenate(high))
+    at = np.flatnonzero((counts > 0) | unsure)
+    found = pd.DataFrame({"place": place[at], "links": counts[at], "open": unsure[at].astype(np.int64)})
+    joined = pd.DataFrame({"a": place[np.asarray(low, np.int64)], "b": place[np.asarray(high, np.int64)]})
+    return pd.concat([found, joined], ignore_index=True).reindex(columns=["place", "links", "open", "a", "b"]).astype("Int64")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -56,10 +115,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     vectors of different lengths don't link. Rows that share an id are one node for components; each is its own vector
     for counts. A null id has a null component and is kept; its links count. Extra columns are not read.
 
-    Equal vectors of a label are one class, whose copies count as links but aren't compared. Each label's classes are cut
-    into tiles of ``tile`` rows; each two tiles are a group of their own, which returns counts and a spanning forest of
-    its links, so what is shuffled grows with the rows and the tiles of a label, and not with the links. All pairs of a
-    label are products of tiles: the work grows with the square of a label's classes.
+    Equal vectors of a label are one class, whose copies count as links but aren't compared. Classes are coded once and
+    each label's are cut into tiles of ``tile`` rows; each two tiles are a group of their own, to which only the codes are
+    sent. It returns counts and a spanning forest of the links that are certain by the error bounds, and names the rows of
+    the pairs that are not; only these rows go once more, with their doubles. So what is shuffled does not grow with the
+    links. All pairs of a label are products of tiles: work, and the copies of codes, grow with the square of its classes.
     """
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), v.alias("v"))
@@ -69,60 +129,35 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     classes = rows.where("usable").groupBy("label", "v", "hash").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = classes.withColumn("width", F.size("v"))
     classes = ranked(classes, ["label", "width"], [F.col("hash")], [F.col("hash"), F.col("v")], "place")
-    classes = written(classes.withColumn("tile", F.floor(F.col("place") / tile).cast("int")).drop("hash"), "classes")
+    classes = classes.select("label", "width", "place", F.floor(F.col("place") / tile).cast("int").alias("tile"), "rep", "copies", "v")
+    code = "label string, width int, place long, tile int, rep long, copies long, v array<double>, q binary, scale double, error double"
+    classes = written(small_batches(classes).mapInPandas(coded, code), "classes")
     tiles = classes.groupBy("label", "width").agg(F.max("tile").alias("last"))
-    dealt = classes.join(tiles, ["label", "width"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    dealt = dealt.select("label", "width", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "place", "rep", "copies", "v")
-
-    def compare(pdf):
-        import numpy as np
-        import pandas as pd
-
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        pdf = pdf.sort_values("place", kind="stable")
-        t = pdf["tile"].to_numpy()
-        x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-        x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the lengths
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        place, copies = pdf["place"].to_numpy(), pdf["copies"].to_numpy()
-        left, right = np.flatnonzero(t == i), np.flatnonzero(t == j)
-        counts = np.zeros(len(x), np.int64)
-        own, low, high = np.arange(len(x)), [], []
-        if not len(left) or not len(right):
-            return pd.DataFrame({"place": [], "links": [], "a": [], "b": []})
-        for start, a, b in tile_links(x[left], x[right], threshold):
-            a, b = left[start + a], right[b]
-            if i == j:
-                a, b = a[place[a] < place[b]], b[place[a] < place[b]]
-            np.add.at(counts, a, copies[b])
-            np.add.at(counts, b, copies[a])
-            if len(a):
-                found = joined_labels(own, a, b)
-                low.append(found[0])
-                high.append(found[1])
-        if low:
-            low, high = joined_labels(own, np.concatenate(low), np.concatenate(high))
-        at = np.flatnonzero(counts)
-        none = [None] * len(at)
-        found = pd.DataFrame({"place": place[at], "links": counts[at], "a": none, "b": none})
-        joined = pd.DataFrame({"place": None, "links": None, "a": place[np.asarray(low, np.int64)], "b": place[np.asarray(high, np.int64)]})
-        out = pd.concat([found, joined], ignore_index=True) if len(joined) else found
-        return out.astype("Int64")
-
-    def units(key, pdf):
-        out = compare(pdf)
-        out.insert(0, "width", key[1])
-        out.insert(0, "label", key[0])
-        return out
-
-    schema = "label string, width int, place long, links long, a long, b long"
-    found = written(dealt.groupBy("label", "width", "i", "j").applyInPandas(units, schema), "tiles")
+    group, sent = ["label", "width", "i", "j"], ["tile", "place", "copies", "q", "scale", "error"]
+    dealt = classes.select("label", "width", *sent).join(tiles, ["label", "width"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    dealt = dealt.select("label", "width", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), *sent)
+
+    def compare(exact):
+        def units(key, pdf):
+            out = compared(pdf, key[2], key[3], threshold, exact)
+            for k, (name, value) in enumerate(zip(group, key, strict=True)):
+                out.insert(k, name, value)
+            return out
+
+        return units
+
+    schema = "label string, width int, i int, j int, place long, links long, open long, a long, b long"
+    certain = written(dealt.groupBy(*group).applyInPandas(compare(False), schema), "tiles")
+    unsure = certain.where("open = 1").select(*group, "place").join(classes.drop("rep"), ["label", "width", "place"])
+    found = certain.unionByName(written(unsure.groupBy(*group).applyInPandas(compare(True), schema), "tiles"))
     counts = found.where("place is not null").groupBy("label", "width", "place").agg(F.sum("links").alias("links"))
     names = classes.select("label", "width", "place", "rep")
     edges = found.where("a is not null").select("label", "width", F.col("a").alias("place"), "b").join(names, ["label", "width", "place"])
     edges = edges.select("label", "width", F.col("b").alias("place"), F.col("rep").alias("x")).join(names, ["label", "width", "place"]).select(F.col("x").alias("a"), F.col("rep").alias("b"))
     by_class = classes.join(counts, ["label", "width", "place"], "left").select("label", "v", "rep", "copies", F.coalesce("links", F.lit(0)).alias("links"))
-    member = rows.join(by_class, ["label", "v"], "left")
+    # What links with nothing has no class: it stays out of the join, where its nulls would meet in one task.
+    alone = rows.where("not usable").select("id", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("long").alias("copies"), F.lit(0).cast("long").alias("links"))
+    member = rows.where("usable").join(by_class, ["label", "v"], "left").select("id", "rep", "copies", "links").unionByName(alone)
     member = written(member.select("id", "rep", (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).alias("n_links")), "members")
     # A row whose id isn't its class's least is linked with it.
     own = member.where("id is not null and rep is not null and id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
