@@ -18,6 +18,7 @@ from .mixing import op6_mixing
 from .packing import op10_packing
 from .quality import ORACLE_SQL as QUALITY_SQL
 from .quality import op1_quality
+from .sharding import ORACLE_SQL as SHARDING_SQL
 from .sharding import op5_sharding
 from .suffix import ORACLE_SQL as SUFFIX_SQL
 from .suffix import op3_suffix
@@ -41,5 +42,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB has no CRC-32, which op5 and op10 return; models, schedules and packing are not expressed in SQL."""
-    return {"op1_quality": QUALITY_SQL, "op3_suffix": SUFFIX_SQL, "op4_embeddings": EMBEDDINGS_SQL, "op7_minhash": MINHASH_SQL}
+    """Models, schedules and packing are not expressed in SQL."""
+    return {"op1_quality": QUALITY_SQL, "op3_suffix": SUFFIX_SQL, "op4_embeddings": EMBEDDINGS_SQL, "op5_sharding": SHARDING_SQL, "op7_minhash": MINHASH_SQL}
