@@ -145,6 +145,34 @@ def test_repeated_passages(docs, corpus, hot, monkeypatch):
         assert (r.cut.removed, r.cut.runs, hashlib.sha256(bytes(r.cut.kept)).hexdigest()) == want[r.doc_id, r.text], (r.doc_id, r.text)
 
 
+@pytest.mark.parametrize("hot", [512, 1])
+def test_groups_have_all_occurrences_and_give_the_removal(docs, corpus, hot, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", hot)
+    order = sorted({(d, t or "") for d, t in corpus}, key=lambda r: (r[0] is not None, r[0] or 0))
+    data = {r: r[1].encode() for r in order}
+    rank, named = {r: i for i, r in enumerate(order)}, {}
+    for d, t in order:
+        named.setdefault(d, []).append((d, t))
+    assert all(len(v) == 1 for v in named.values())
+    groups = {}
+    for r in suffix.repeat_groups(docs).collect():
+        groups.setdefault((r.group_id, r.length), []).append((rank[named[r.doc_id][0]], r.at))
+    gone = [np.zeros(len(data[r]), bool) for r in order]
+    for (_, n), places in groups.items():
+        places.sort()
+        (first, start), *later = places
+        string = data[order[first]][start : start + n]
+        assert n >= 100 and later and len(set(places)) == len(places)
+        want = [(i, p) for i, r in enumerate(order) for p in range(len(data[r]) - n + 1) if data[r].startswith(string[:8], p) and data[r].startswith(string, p)] if len(places) < 40 else places
+        assert places == want
+        for i, p in later:
+            assert data[order[i]][p : p + n] == string
+            gone[i][p : p + n] = True
+    want = brute_removed([(d, t) for d, t in order], 100)
+    for i, r in enumerate(order):
+        assert (int(gone[i].sum()), hashlib.sha256(np.frombuffer(data[r], np.uint8)[~gone[i]].tobytes()).hexdigest()) == want[r][::2]
+
+
 def test_passages_keep_columns_that_clash(spark):
     rows = spark.createDataFrame([(1, "x" * 150, 5, 6)], "doc_id long, text string, _doc int, _TAG int")
     got = suffix.without_repeats(rows, into="cut")
@@ -220,7 +248,7 @@ def test_ranks_are_gapless(spark):
         assert mine == list(range(len(mine)))
 
 
-@pytest.mark.parametrize("call", [lambda d: minhash.near_duplicates(d), lambda d: suffix.without_repeats(d)])
+@pytest.mark.parametrize("call", [lambda d: minhash.near_duplicates(d), lambda d: suffix.without_repeats(d), lambda d: suffix.repeat_groups(d)])
 def test_empty_tables(spark, call):
     assert call(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -279,8 +279,9 @@ def _key(window: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
 
 
-def tree_spans(found: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Spans that repeat an earlier context's bytes; found has the rows of an anchor together."""
+def by_anchor(found: DataFrame, work, schema: str) -> DataFrame:
+    """work's frames for the rows of found, of which it has those of an anchor (h) together: some anchors at a time, of
+    about _KERNEL_BYTES of bytes in all."""
 
     def run(batches):
         import numpy as np
@@ -288,43 +289,142 @@ def tree_spans(found: DataFrame, length: int = LENGTH) -> DataFrame:
 
         held, lengths = None, lambda rows: np.array([0 if x is None else len(x) for x in rows["bytes"]], np.int64)
 
-        def work(rows):
-            settled = rows[rows["bytes"].isna()]
-            if len(settled):
-                yield pd.DataFrame({"doc": settled["doc"], "tag": settled["tag"], "at": settled["at"], "n": np.int32(length)})
-            rows = rows[rows["bytes"].notna()].drop_duplicates(["h", "doc", "tag", "at"]).sort_values(["doc", "tag", "at"], kind="stable")
-            if len(rows) < 2:
-                return
-            doc, tag, at = rows["doc"].to_numpy(), rows["tag"].to_numpy(), rows["at"].to_numpy()
-            new = np.concatenate([[0], ((doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])).astype(np.int64)])
-            when = np.cumsum(new) * (int(at.max()) + (1 << 20)) + at
-            out = [(doc[c], tag[c], at[c] + w, n) for n, _, later in repeats(list(rows["bytes"]), rows["n"], when, length) for c, w in later]
-            if out:
-                yield pd.DataFrame(out, columns=["doc", "tag", "at", "n"])
+        def pieces(rows):
+            size = np.cumsum(lengths(rows))
+            h = rows["h"].to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            part = (size[starts] // _KERNEL_BYTES).astype(np.int64)
+            cuts = [*starts[np.concatenate([[True], part[1:] != part[:-1]])], len(rows)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield from work(rows.iloc[a:b])
 
         for b in batches:
             held = b if held is None else pd.concat([held, b], ignore_index=True)
             if lengths(held).sum() >= _KERNEL_BYTES:
                 whole = (held["h"] != held["h"].iloc[-1]).to_numpy()
                 if whole.any():
-                    yield from pieces(held[whole], lengths, work)
+                    yield from pieces(held[whole])
                     held = held[~whole].reset_index(drop=True)
         if held is not None and len(held):
-            yield from pieces(held, lengths, work)
+            yield from pieces(held)
+
+    return found.mapInPandas(run, schema)
+
+
+def tree_spans(found: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Spans that repeat an earlier context's bytes; found has the rows of an anchor together."""
 
-    def pieces(rows, lengths, work):
-        """At most about _KERNEL_BYTES at a time, an anchor's rows together."""
+    def work(rows):
         import numpy as np
+        import pandas as pd
+
+        settled = rows[rows["bytes"].isna()]
+        if len(settled):
+            yield pd.DataFrame({"doc": settled["doc"], "tag": settled["tag"], "at": settled["at"], "n": np.int32(length)})
+        rows = rows[rows["bytes"].notna()].drop_duplicates(["h", "doc", "tag", "at"]).sort_values(["doc", "tag", "at"], kind="stable")
+        if len(rows) < 2:
+            return
+        doc, tag, at = rows["doc"].to_numpy(), rows["tag"].to_numpy(), rows["at"].to_numpy()
+        new = np.concatenate([[0], ((doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])).astype(np.int64)])
+        when = np.cumsum(new) * (int(at.max()) + (1 << 20)) + at
+        out = [(doc[c], tag[c], at[c] + w, n) for n, _, later in repeats(list(rows["bytes"]), rows["n"], when, length) for c, w in later]
+        if out:
+            yield pd.DataFrame(out, columns=["doc", "tag", "at", "n"])
+
+    return by_anchor(found, work, SPAN)
+
+
+LEAF = "h long, c long, n int, several boolean, at int, bytes binary"
+
+
+def leaf_bytes(needed: DataFrame, length: int = LENGTH) -> DataFrame:
+    """needed: text, runs (array of h, c, at, n, several, hot). The bytes of each different context c; those of hot anchors
+    window by window, with the window's place in the context (at), a hash of it as h, and no bytes."""
+
+    def run(batches):
+        import pandas as pd
+
+        rows: list[tuple] = []
 
-        size = np.cumsum(lengths(rows))
-        h = rows["h"].to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        part = (size[starts] // _KERNEL_BYTES).astype(np.int64)
-        cuts = [*starts[np.concatenate([[True], part[1:] != part[:-1]])], len(rows)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield from work(rows.iloc[a:b])
+        def flush():
+            out = pd.DataFrame(rows, columns=["h", "c", "n", "several", "at", "bytes"])
+            rows.clear()
+            return out
+
+        for b in batches:
+            for text, found in zip(b["text"], b["runs"], strict=True):
+                data = text.encode("utf-8")
+                for r in found:
+                    at, n = int(r["at"]), int(r["n"])
+                    if r["hot"]:
+                        rows.extend((_key(data[i : i + length]), r["c"], n, r["several"], i - at, None) for i in range(at, at + n))
+                    else:
+                        rows.append((r["h"], r["c"], n, r["several"], 0, data[at : at + n + length - 1]))
+                    if len(rows) > 100_000:
+                        yield flush()
+        yield flush()
+
+    return needed.mapInPandas(run, LEAF)
 
-    return found.mapInPandas(run, SPAN)
+
+GROUP = "group_id long, length int, c long, at int"
+
+
+def tree_groups(leaves: DataFrame, length: int = LENGTH) -> DataFrame:
+    """leaves: the different contexts, those of an anchor together. The groups of maximal repeats as places in contexts."""
+
+    def work(rows):
+        import numpy as np
+        import pandas as pd
+
+        rows = rows.drop_duplicates(["h", "c"])
+        c, texts, several = rows["c"].to_numpy(), list(rows["bytes"]), rows["several"].to_numpy()
+        out, whole = [], np.zeros(len(rows), bool)
+        when = np.arange(len(rows), dtype=np.int64) << 20
+        for n, members, _ in repeats(texts, rows["n"], when, length, members=True) if len(rows) > 1 else ():
+            name = _key(texts[members[0][0]][members[0][1] : members[0][1] + n])
+            out.extend((name, n, c[k], w) for k, w in members)
+            whole[[k for k, w in members if w == 0 and n == len(texts[k])]] = True
+        # A leaf of several occurrences is a repeat of its own, unless an interval of its whole length holds it.
+        out.extend((_key(texts[k]), len(texts[k]), c[k], 0) for k in np.flatnonzero(several & ~whole))
+        if out:
+            yield pd.DataFrame(out, columns=["group_id", "length", "c", "at"])
+
+    return by_anchor(leaves, work, GROUP)
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """group_id, length, doc_id, tag, at: the groups of maximal repeats of ``length`` bytes or more, with every occurrence.
+
+    A group is a string of bytes that occurs twice or more, in one document or in several; a row is one of its places (at,
+    in bytes, in the document doc_id), and no place of the string is left out. Strings are maximal within the context of
+    their anchor: a longer passage is a chain of overlapping groups. Every two equal windows of ``length`` bytes lie in a
+    group, so the bytes that places other than a group's first one cover are those that without_repeats removes. Contexts
+    that occur often go to the tree once, as one leaf, and their occurrences are joined to its groups. Anchors with more
+    than HOT different contexts give groups of single windows. Periodic bytes have many nested groups.
+
+    Rows that share an id are told apart by tag, a hash of their text; rows equal in both are one document. Null and empty
+    texts hold no repeats, a null id stays null, other columns are not read, and an empty table gives an empty one.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), tag_of(text).alias("tag"), text.alias("text"))
+    found = written(occurrences(plain, length), "occurrences")
+    place = F.struct("doc", "tag", "at")
+    # Where a context came earlier in the same task its row has no anchor (n is negated), but one of its rows has.
+    leaves = found.groupBy("c").agg(F.max(F.when(F.col("n") > 0, F.col("h"))).alias("h"), F.min(place).alias("first"), F.max(place).alias("last"), F.max(F.abs("n")).alias("n"))
+    leaves = written(leaves.withColumn("several", F.col("first") != F.col("last")), "leaves")
+    anchors = leaves.groupBy("h").agg(F.count(F.lit(1)).alias("classes"))
+    leaves = leaves.join(anchors, "h").where("several or classes > 1").select("first.*", F.struct("h", "c", F.col("first.at").alias("at"), "n", "several", (F.col("classes") > HOT).alias("hot")).alias("run"))
+    needed = leaves.groupBy("doc", "tag").agg(F.collect_list("run").alias("runs"))
+    bytes_ = written(leaf_bytes(plain.join(needed, ["doc", "tag"]).select("text", "runs"), length), "leaves")
+    groups = tree_groups(bytes_.where("bytes is not null").repartition("h").sortWithinPartitions("h"), length)
+    windows = bytes_.where("bytes is null").select("h", "c", "at", "several").distinct()
+    repeated = windows.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.max("several").alias("several")).where("several or m > 1").select("h")
+    windows = windows.join(repeated, "h").select(F.col("h").alias("group_id"), F.lit(length).alias("length"), "c", "at")
+    groups = groups.unionByName(windows).withColumnRenamed("at", "within")
+    places = found.select("c", "doc", "tag", "at").join(groups, "c").select("group_id", "length", "doc", "tag", (F.col("at") + F.col("within")).alias("at")).distinct()
+    doc = F.when(F.col("doc") != -(1 << 63), F.col("doc"))
+    return places.select("group_id", "length", doc.alias(id_col), "tag", "at")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
