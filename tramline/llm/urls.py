@@ -160,7 +160,7 @@ def fit(labelled: DataFrame, train_urls: int = TRAIN_URLS) -> Model | None:
     for i in range(3):
         got = labelled.groupBy(f"s{i}").agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b")).collect()  # SUFFIX_BUCKETS rows at most
         rates.append({r[0]: (r["b"] + 5 * share) / (r["n"] + 5) for r in got})
-    parts = 1 << 20
+    parts = 1 << 40
     sample = labelled.where(F.pmod(F.xxhash64("url"), F.lit(parts)) < min(parts, parts * train_urls // max(total["d"], 1) + 1)).distinct().toPandas()
     model = Model(0.0, rates, share, [])
     if share in (0, 1) or not len(sample):
