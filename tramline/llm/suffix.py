@@ -24,7 +24,8 @@ HOT = 512  # an anchor with more different contexts is split further, by whole w
 _CHUNK = 1 << 22
 _TOGETHER = 1 << 17  # bytes of short documents that are hashed together
 _COMBINE = 1 << 20
-_KERNEL_BYTES = 1 << 20
+_HELD_BYTES = 1 << 20
+_KERNEL_BYTES = 1 << 16  # a suffix array's tables stay in a core's cache
 
 
 def runs(data, hasher: Hasher, length: int = LENGTH, ends=None):
@@ -281,36 +282,47 @@ def _key(window: bytes) -> int:
 
 def by_anchor(found: DataFrame, work, schema: str) -> DataFrame:
     """work's frames for the rows of found, of which it has those of an anchor (h) together: some anchors at a time, of
-    about _KERNEL_BYTES of bytes in all."""
+    about _HELD_BYTES of bytes in all."""
 
     def run(batches):
-        import numpy as np
         import pandas as pd
 
-        held, lengths = None, lambda rows: np.array([0 if x is None else len(x) for x in rows["bytes"]], np.int64)
-
-        def pieces(rows):
-            size = np.cumsum(lengths(rows))
-            h = rows["h"].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            part = (size[starts] // _KERNEL_BYTES).astype(np.int64)
-            cuts = [*starts[np.concatenate([[True], part[1:] != part[:-1]])], len(rows)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                yield from work(rows.iloc[a:b])
-
+        held, size = [], 0
         for b in batches:
-            held = b if held is None else pd.concat([held, b], ignore_index=True)
-            if lengths(held).sum() >= _KERNEL_BYTES:
-                whole = (held["h"] != held["h"].iloc[-1]).to_numpy()
-                if whole.any():
-                    yield from pieces(held[whole])
-                    held = held[~whole].reset_index(drop=True)
-        if held is not None and len(held):
-            yield from pieces(held)
+            held.append(b)
+            size += int(_lengths(b["bytes"]).sum())
+            if size >= _HELD_BYTES:
+                rows = pd.concat(held, ignore_index=True)
+                last = (rows["h"] == rows["h"].iloc[-1]).to_numpy()
+                if not last.all():
+                    yield from work(rows[~last])
+                    rows = rows[last]
+                held, size = [rows], int(_lengths(rows["bytes"]).sum())
+        if held:
+            rows = pd.concat(held, ignore_index=True)
+            if len(rows):
+                yield from work(rows)
 
     return found.mapInPandas(run, schema)
 
 
+def _lengths(texts):
+    """Bytes held for each row: those of its text, and as many as a row takes without one."""
+    import numpy as np
+
+    return np.array([64 if t is None else 64 + len(t) for t in texts], np.int64)
+
+
+def kernels(h, texts) -> Iterator[slice]:
+    """Slices of rows in order of their anchors h: whole anchors, of about _KERNEL_BYTES each."""
+    import numpy as np
+
+    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    part = np.cumsum(_lengths(texts))[starts] // _KERNEL_BYTES
+    cuts = [*starts[np.concatenate([[True], part[1:] != part[:-1]])].tolist(), len(h)]
+    yield from (slice(i, j) for i, j in zip(cuts, cuts[1:], strict=False))
+
+
 def tree_spans(found: DataFrame, length: int = LENGTH) -> DataFrame:
     """Spans that repeat an earlier context's bytes; found has the rows of an anchor together."""
 
@@ -321,13 +333,18 @@ def tree_spans(found: DataFrame, length: int = LENGTH) -> DataFrame:
         settled = rows[rows["bytes"].isna()]
         if len(settled):
             yield pd.DataFrame({"doc": settled["doc"], "tag": settled["tag"], "at": settled["at"], "n": np.int32(length)})
-        rows = rows[rows["bytes"].notna()].drop_duplicates(["h", "doc", "tag", "at"]).sort_values(["doc", "tag", "at"], kind="stable")
+        rows = rows[rows["bytes"].notna()].drop_duplicates(["h", "doc", "tag", "at"])
         if len(rows) < 2:
             return
-        doc, tag, at = rows["doc"].to_numpy(), rows["tag"].to_numpy(), rows["at"].to_numpy()
-        new = np.concatenate([[0], ((doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])).astype(np.int64)])
-        when = np.cumsum(new) * (int(at.max()) + (1 << 20)) + at
-        out = [(doc[c], tag[c], at[c] + w, n) for n, _, later in repeats(list(rows["bytes"]), rows["n"], when, length) for c, w in later]
+        h, doc, tag, at, n = (rows[c].to_numpy() for c in ("h", "doc", "tag", "at", "n"))
+        order = np.lexsort((at, tag, doc))
+        new = np.concatenate([[0], ((doc[order][1:] != doc[order][:-1]) | (tag[order][1:] != tag[order][:-1])).astype(np.int64)])
+        when = np.empty(len(rows), np.int64)
+        when[order] = np.cumsum(new) * (int(at.max()) + (1 << 20)) + at[order]
+        texts, out = list(rows["bytes"]), []
+        for s in kernels(h, texts):
+            found = repeats(texts[s], n[s], when[s], length) if s.stop - s.start > 1 else ()
+            out.extend((doc[s][c], tag[s][c], at[s][c] + w, size) for size, _, later in found for c, w in later)
         if out:
             yield pd.DataFrame(out, columns=["doc", "tag", "at", "n"])
 
@@ -378,13 +395,15 @@ def tree_groups(leaves: DataFrame, length: int = LENGTH) -> DataFrame:
         import pandas as pd
 
         rows = rows.drop_duplicates(["h", "c"])
-        c, texts, several = rows["c"].to_numpy(), list(rows["bytes"]), rows["several"].to_numpy()
-        out, whole = [], np.zeros(len(rows), bool)
+        h, c, windows, several = (rows[x].to_numpy() for x in ("h", "c", "n", "several"))
+        texts, out, whole = list(rows["bytes"]), [], np.zeros(len(rows), bool)
         when = np.arange(len(rows), dtype=np.int64) << 20
-        for n, members, _ in repeats(texts, rows["n"], when, length, members=True) if len(rows) > 1 else ():
-            name = _key(texts[members[0][0]][members[0][1] : members[0][1] + n])
-            out.extend((name, n, c[k], w) for k, w in members)
-            whole[[k for k, w in members if w == 0 and n == len(texts[k])]] = True
+        for s in kernels(h, texts):
+            i = s.start
+            for n, members, _ in repeats(texts[s], windows[s], when[s], length, members=True) if s.stop - i > 1 else ():
+                name = _key(texts[i + members[0][0]][members[0][1] : members[0][1] + n])
+                out.extend((name, n, c[i + k], w) for k, w in members)
+                whole[[i + k for k, w in members if w == 0 and n == len(texts[i + k])]] = True
         # A leaf of several occurrences is a repeat of its own, unless an interval of its whole length holds it.
         out.extend((_key(texts[k]), len(texts[k]), c[k], 0) for k in np.flatnonzero(several & ~whole))
         if out:
